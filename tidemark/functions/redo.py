@@ -176,7 +176,7 @@ def raw_image(sql: Column) -> Column:
 
 
 def obfuscate_sql(sql: Column) -> Column:
-    """Mask the text and number literals of a statement."""
+    """Mask the text literals of a statement."""
     masked = F.regexp_replace(sql, _TEXT, "'?'")
     # An unterminated literal is masked up to the end of the statement.
     masked = F.regexp_replace(masked, r"^((?:[^']|'\?')*+)'(?!\?')[\s\S]*+$", "$1'?'")

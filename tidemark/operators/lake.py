@@ -90,13 +90,15 @@ def fill_toast(rows: DataFrame, pk: list[str], columns: list[str], order: list[s
         carries.append(Carry(f"__known{i}", value))
     known = carry(rows, pk, order, carries, bits)
 
-    filled = F.col("after")
-    for i, name in enumerate(columns):
-        replacement = F.col(f"__known{i}")
-        filled = F.transform_values(
-            filled,
-            lambda k, v, name=name, replacement=replacement: F.when(
+    def replaced(image: Column, name: str, replacement: Column) -> Column:
+        return F.transform_values(
+            image,
+            lambda k, v: F.when(
                 (k == name) & v.eqNullSafe(TOAST_SENTINEL) & replacement.isNotNull(), replacement["v"]
             ).otherwise(v),
         )
+
+    filled = F.col("after")
+    for i, name in enumerate(columns):
+        filled = replaced(filled, name, F.col(f"__known{i}"))
     return known.withColumn("after", filled).drop(*[f"__known{i}" for i in range(len(columns))])
