@@ -36,12 +36,19 @@ def last_wins(keys: Column, values: Column) -> Column:
 def name_columns(values: Column, names: Column, prefix: str = "col_") -> Column:
     """Positional values → named map. Positions beyond the known names are kept under
     ``prefix`` + index; with fewer values than names the rest are absent."""
+
+    def named(pair: Column) -> Column:
+        known, row = pair["names"], pair["values"]
+        size = F.size(known)
+        # Nearly always there is a distinct name for each value.
+        simple = (F.size(row) == size) & (F.size(F.array_distinct(known)) == size)
+        keys = F.transform(
+            row, lambda _, i: F.coalesce(F.get(known, i), F.concat(F.lit(prefix), i.cast("string")))
+        )
+        return F.when(row.isNotNull(), F.when(simple, F.map_from_arrays(known, row)).otherwise(last_wins(keys, row)))
+
     known = F.coalesce(names, F.array().cast("array<string>"))
-    keys = F.transform(
-        values,
-        lambda _, i: F.coalesce(F.get(known, i), F.concat(F.lit(prefix), i.cast("string"))),
-    )
-    return F.when(values.isNotNull(), last_wins(keys, values))
+    return let(F.struct(known.alias("names"), values.alias("values")), named)
 
 
 def delta(before: Column, after: Column) -> Column:

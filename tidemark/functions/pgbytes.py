@@ -14,6 +14,9 @@ from tidemark.schema import TOAST_SENTINEL
 # Microseconds between 1970-01-01 and 2000-01-01.
 PG_EPOCH_MICROS = 946_684_800_000_000
 
+# Column kinds of a tuple: text, null, unchanged out-of-line value.
+_TEXT_KIND, _NULL_KIND, _TOAST_KIND = b"t", b"n", b"u"
+
 
 def _int(pos) -> Column:
     return pos if isinstance(pos, Column) else F.lit(pos)
@@ -51,38 +54,44 @@ def pg_tuple(payload: Column, start) -> Column:
     ``n``, a sentinel for an unchanged out-of-line value).
     """
     start = _int(start)
-    size = F.octet_length(payload)
+    end = F.octet_length(payload) + 1
     count = F.coalesce(uint(payload, start, 2).cast("int"), F.lit(0))
-    zero = F.struct(
-        (start + 2).cast("int").alias("pos"),
-        (start + 1 <= size).alias("ok"),
-        F.array().cast("array<string>").alias("values"),
-    )
 
     def step(acc: Column, _: Column) -> Column:
+        # An unknown kind makes the position null, and it stays null.
         pos = acc["pos"]
-        # A broken length cannot move the cursor past the end of the message.
-        length = F.least(F.coalesce(uint(payload, pos + 1, 4), F.lit(0)), size.cast("bigint")).cast("int")
-        kind = char(payload, pos)
-        column = F.struct(kind.alias("kind"), F.when(kind == "t", length).alias("length"))
 
         def advance(c: Column) -> Column:
-            next_pos = F.when(c["kind"] == "t", pos + 5 + c["length"]).otherwise(pos + 1)
-            value = F.when(c["kind"] == "t", text(F.substring(payload, pos + 5, c["length"]))).when(
-                c["kind"] == "u", F.lit(TOAST_SENTINEL)
+            is_text = c["kind"] == F.lit(_TEXT_KIND)
+            # A length beyond the message stops just outside it.
+            after_text = F.least(pos + F.lit(5) + c["length"], (end + 1).cast("bigint")).cast("int")
+            value = F.when(is_text, F.substring(payload, pos + 5, c["length"].cast("int")).cast("string")).when(
+                c["kind"] == F.lit(_TOAST_KIND), F.lit(TOAST_SENTINEL)
             )
-            whole = (next_pos <= size + 1) & ((c["kind"] != "t") | (pos + 4 <= size))
-            ok = acc["ok"] & c["kind"].isin("t", "n", "u") & whole
             return F.struct(
-                next_pos.cast("int").alias("pos"),
-                F.coalesce(ok, F.lit(False)).alias("ok"),
-                F.when(acc["ok"], F.array_append(acc["values"], value)).otherwise(acc["values"]).alias("values"),
+                F.when(is_text, after_text)
+                .when((c["kind"] == F.lit(_NULL_KIND)) | (c["kind"] == F.lit(_TOAST_KIND)), pos + 1)
+                .alias("pos"),
+                F.array_append(acc["values"], value).alias("values"),
             )
 
+        kind = F.substring(payload, pos, F.lit(1))
+        column = F.struct(
+            kind.alias("kind"), F.least(uint(payload, pos + 1, 4), F.lit(2147483647)).alias("length")
+        )
         return let(column, advance)
 
-    positions = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(positions, zero, step)
+    columns = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    first = F.struct((start + 2).cast("int").alias("pos"), F.array().cast("array<string>").alias("values"))
+
+    def checked(t: Column) -> Column:
+        # One check for all values; a separator keeps their bytes apart.
+        clean = F.is_valid_utf8(F.array_join(t["values"], " "))
+        values = F.when(clean, t["values"]).otherwise(F.transform(t["values"], F.make_valid_utf8))
+        whole = (t["pos"] <= end) & (start + 1 < end)
+        return F.struct(t["pos"].alias("pos"), F.coalesce(whole, F.lit(False)).alias("ok"), values.alias("values"))
+
+    return let(F.aggregate(columns, first, step), checked)
 
 
 def relation_definition(payload: Column) -> Column:

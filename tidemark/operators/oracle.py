@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.binding import with_once
 from tidemark.functions.images import delta
 from tidemark.functions.redo import parse_delete, parse_insert, parse_update, raw_image
 from tidemark.schema import LOG_COLUMNS
@@ -27,12 +28,13 @@ def redo_images(rows: DataFrame, literal_parity: bool = False) -> DataFrame:
     """Add ``before``, ``after`` and ``reason``. Text that is not understood is carried
     whole under ``raw_sql``; updates keep only the columns that changed."""
     sql, op = F.col("sql_redo"), F.col("operation")
-    parsed = rows.withColumns(
+    parsed = with_once(
+        rows,
         {
             "__insert": F.when(op == "INSERT", parse_insert(sql, literal_parity)),
             "__update": F.when(op == "UPDATE", parse_update(sql, literal_parity)),
             "__delete": F.when(op == "DELETE", parse_delete(sql, literal_parity)),
-        }
+        },
     )
     understood = F.coalesce("__insert", "__delete", F.col("__update.before")).isNotNull()
     before = F.when(op == "UPDATE", F.coalesce(F.col("__update.before"), F.create_map().cast("map<string,string>"))).when(

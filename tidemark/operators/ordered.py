@@ -8,10 +8,13 @@ one task, and one group may hold a third of the log.
 ``carry`` cuts each group into bins of ``2**bits`` log positions and lets the windows
 run over (group, bin), so a task never holds more than a bin's rows of one group. What
 a bin must know about the bins before it is computed first, on a few narrow columns,
-as one summary row per (group, bin). Those summaries are cut into bins again in the
-same way, so their own group stays small too. The results enter the windows as extra
-*seed* rows at the start of each bin, which needs no join: rows and seeds are shuffled
-together, once, and the seeds are dropped afterwards.
+as one summary row per (group, bin): a group of 10**11 rows has fewer than 400 000 of
+them. The results enter the windows as extra *seed* rows at the start of each bin, which
+needs no join: rows and seeds are shuffled together, once, and the seeds are dropped
+afterwards.
+
+Positions are expected to be dense. Where they are not (byte positions, say), bins hold
+fewer rows and there are more of them; ``levels=2`` cuts the summaries into bins as well.
 """
 
 from __future__ import annotations
@@ -21,8 +24,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# 65 536 positions per bin, and as many bins per summary bin.
-BIN_BITS = 16
+# 262 144 positions per bin.
+BIN_BITS = 18
 
 _BIN = "__bin"
 _IS_ROW = "__is_row"
@@ -95,14 +98,13 @@ def _seeds(binned: DataFrame, specs: dict[str, Carry], group: list[str], order:
 
 
 def carry(df: DataFrame, key: list[str], order: list[str], values: list[Carry],
-          bits: int = BIN_BITS, levels: int = 2) -> DataFrame:
+          bits: int = BIN_BITS, levels: int = 1) -> DataFrame:
     """Add one column per entry of ``values``.
 
     ``key`` are the group columns all values share and ``order`` the log order, whose
     first column is a BIGINT position. All values come out of one shuffle by (key, bin);
-    narrower groups only sort again inside it. ``levels`` is how often summaries are cut
-    into bins; two levels keep every window below 2**bits rows for groups of up to
-    2**(3*bits) positions.
+    narrower groups only sort again inside it. ``levels`` is how often the log is cut into
+    bins: once, or again on the summaries of the level below.
     """
     # Windows of the widest group come first, so that the others need no shuffle.
     specs = {f"__value{i}": spec for i, spec in sorted(enumerate(values), key=lambda pair: len(pair[1].by))}
@@ -118,8 +120,14 @@ def carry(df: DataFrame, key: list[str], order: list[str], values: list[Carry],
             parts.append(_seeds(binned, same_group, [*key, *by], order, bits, levels))
         together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    for source, spec in specs.items():
-        together = together.withColumn(spec.name, _running(spec, source, key, order, in_bins=levels > 0))
+    for by in dict.fromkeys(spec.by for spec in specs.values()):
+        together = together.withColumns(
+            {
+                spec.name: _running(spec, source, key, order, in_bins=levels > 0)
+                for source, spec in specs.items()
+                if spec.by == by
+            }
+        )
     if levels > 0:
         together = together.where(F.col(_IS_ROW) == 1).drop(_BIN, _IS_ROW)
     return together.drop(*specs)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.binding import with_once
 from tidemark.functions.images import name_columns
 from tidemark.functions.pgbytes import char, int64, pg_timestamp, pg_tuple, relation_definition, uint
 from tidemark.operators.ordered import BIN_BITS, Carry, carry
@@ -87,13 +88,13 @@ def decode_tuples(messages: DataFrame) -> DataFrame:
     updates the old one only when the message announces it."""
     payload = F.col("payload")
     kind = F.col("type")
-    marker = char(payload, 6)
-    both = (kind == "U") & marker.isin("O", "K")
-    first = messages.withColumns(
-        {"__both": both, "__first": F.when(kind.isin(*ROW_MESSAGES), pg_tuple(payload, 7))}
+    both = (kind == "U") & char(payload, 6).isin("O", "K")
+    first = with_once(
+        messages,
+        {"__both": both, "__first": F.when(kind.isin(*ROW_MESSAGES), pg_tuple(payload, 7))},
     )
     # The byte between the tuples announces the new one.
-    second = first.withColumn("__second", F.when(F.col("__both"), pg_tuple(payload, F.col("__first.pos") + 1)))
+    second = with_once(first, {"__second": F.when(F.col("__both"), pg_tuple(payload, F.col("__first.pos") + 1))})
     old = F.when((kind == "D") | F.col("__both"), F.col("__first"))
     new = F.when(F.col("__both"), F.col("__second")).when(kind.isin("I", "U"), F.col("__first"))
     return second.withColumns({"old": old, "new": new}).drop("__both", "__first", "__second")

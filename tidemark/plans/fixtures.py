@@ -14,6 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A landed log lies in many files. A table in fewer files than there are cores is
+    spread over them; larger ones are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _OFFSET = """case connector_type
     when 'postgres' then concat(hex(ord div 4294967296), '/', hex(ord % 4294967296))
     when 'mysql' then concat('mysql-bin.', lpad(cast(ord div 100000 as string), 6, '0'), ':', cast(ord % 100000 as string))
@@ -41,7 +48,7 @@ def change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
           user_id as pk
         from {events}
         """,
-        events=table(spark, sf_dir, "events"),
+        events=spread(table(spark, sf_dir, "events")),
     )
     return rows.withColumn("offset", F.expr(_OFFSET))
 
@@ -89,7 +96,7 @@ def redo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
           end as sql_redo
         from {orders}
         """,
-        orders=table(spark, sf_dir, "orders"),
+        orders=spread(table(spark, sf_dir, "orders")),
     )
 
 
@@ -182,7 +189,7 @@ def pg_log(spark: SparkSession, sf_dir: str) -> DataFrame:
           cast(o_orderdate as timestamp) as ingested_at
         from {orders}
         """,
-        orders=table(spark, sf_dir, "orders"),
+        orders=spread(table(spark, sf_dir, "orders")),
     )
     connector = "case when t % 2 = 0 then 'pg-a' else 'pg-b' end"
     relation = "case when k % 3 = 1 then 16386 else 16385 end"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.functions.binding import with_once
+
 _CONFIG = "name STRING, class STRING, type STRING, config MAP<STRING, STRING>, _corrupt STRING"
 _MASK = "****"
 
@@ -13,7 +15,7 @@ def parse_connectors(texts: DataFrame, column: str = "value") -> DataFrame:
     """JSON documents → ``name, type, config, error``. A document that is not valid JSON
     or lacks name, config or a known kind stays in the result with its ``error``."""
     doc = F.from_json(F.col(column), _CONFIG, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    parsed = texts.withColumn("__doc", doc)
+    parsed = with_once(texts, {"__doc": doc})
     kind = F.regexp_extract(F.lower(F.coalesce("__doc.type", "__doc.class")), "(postgres|mysql|oracle)", 1)
     error = (
         F.when(F.col("__doc").isNull() | F.col("__doc._corrupt").isNotNull(), F.lit("not JSON"))

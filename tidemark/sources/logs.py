@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.binding import with_once
 from tidemark.schema import EVENT_SCHEMA, LOG_SCHEMA, from_event, reject_reason
 
 # Landed columns of each kind of log.
@@ -58,8 +59,8 @@ def events_from_json(texts: DataFrame, column: str = "value", keep: tuple[str, .
     """Event JSON → flat columns with ``reason``, null for valid events. Text that is not
     JSON and events without their required fields stay in the frame with a reason."""
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
-    doc = F.from_json(F.col(column), schema, {"columnNameOfCorruptRecord": "_corrupt"})
-    parsed = texts.select(doc.alias("__doc"), F.col(column).alias("raw"), *keep)
+    doc = F.from_json(F.col("raw"), schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    parsed = with_once(texts.select(F.col(column).alias("raw"), *keep), {"__doc": doc})
     flat = from_event(parsed.select("__doc.*", "raw", *keep), keep=("raw", "_corrupt", *keep))
     broken = F.when(F.col("_corrupt").isNotNull() | F.col("raw").isNull(), F.lit("not JSON"))
     return flat.withColumn("reason", F.coalesce(broken, reject_reason(event_id="event_id"))).drop("_corrupt")
