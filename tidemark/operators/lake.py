@@ -45,7 +45,11 @@ def current_state(committed: DataFrame, pk: list[str]) -> DataFrame:
 
 def history(committed: DataFrame, pk: list[str], bits: int = BIN_BITS) -> DataFrame:
     """Add ``valid_from`` and ``valid_to`` (null for the last): each change holds until
-    the next change of its key. The time used is that of the commit."""
+    the next change of its key. The time used is that of the commit.
+
+    A key with very many changes is cut into bins of commit positions; only its changes
+    inside a single transaction stay together.
+    """
     stamped = committed.withColumn("valid_from", F.coalesce("commit_ts", "ts"))
     following = Carry("valid_to", F.col("valid_from"), ahead=True, strict=True)
     return carry(stamped, pk, CHANGE_ORDER, [following], bits)

@@ -63,16 +63,19 @@ def snapshot_events(spark: SparkSession, tables: dict[tuple[str, str], DataFrame
 
 def jdbc_options(url: str, table: str, partition_column: str | None = None, lower: str | int | None = None,
                  upper: str | int | None = None, partitions: int = 1, fetch_size: int = 10_000,
-                 **extra: str) -> dict[str, str]:
+                 session_init: str | None = None, **extra: str) -> dict[str, str]:
     """Options of a snapshot read. ``table`` may be a query in parentheses, e.g. one that
     names an exported snapshot or a point in time.
 
     Parallel partitions use one connection each and so do not share one transaction. For a
     consistent picture read one partition, or name a fixed point in ``table``, or start the
     log at the position before the read and merge by key, which is idempotent.
+    ``session_init`` is a statement each connection starts with, such as one that asks for
+    repeatable reads.
     """
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size),
-               "isolationLevel": "REPEATABLE_READ", **extra}
+    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **extra}
+    if session_init is not None:
+        options["sessionInitStatement"] = session_init
     if partition_column is not None:
         if lower is None or upper is None:
             raise ValueError("a partitioned read needs both bounds")
@@ -88,7 +91,7 @@ def read_snapshot_jdbc(spark: SparkSession, url: str, table: str, **settings) ->
 
 def snapshot_needed(connectors: DataFrame, offsets: DataFrame) -> DataFrame:
     """Connectors without a stored offset; a blank one counts as none."""
-    stored = usable_offsets(offsets).select(F.col("connector").alias("name"))
+    stored = usable_offsets(offsets).select(F.col("connector").alias("name")).distinct()
     return connectors.join(stored, "name", "left_anti")
 
 

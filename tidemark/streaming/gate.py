@@ -64,7 +64,17 @@ def uncommitted_stream(log: DataFrame, max_tx: str = "1 hour", lateness: str = "
     return joined.where(F.col("commit_ord").isNull()).drop("commit_ord", "commit_ts", "commit_offset")
 
 
-def dedup_stream(rows: DataFrame, keys: list[str], event_time: str = "ts", within: str = "10 minutes") -> DataFrame:
+def dedup_stream(rows: DataFrame, keys: list[str], event_time: str = "ts", within: str = "10 minutes",
+                 salted: bool = True) -> DataFrame:
     """First row of each key; a copy is recognised for ``within`` after it. Used with the
-    event id, or with the fingerprint keys of redo records."""
-    return rows.withWatermark(event_time, within).dropDuplicatesWithinWatermark(keys)
+    event id, or with the fingerprint keys of redo records.
+
+    Copies of one key may be a large part of the input. ``salted`` first removes them per
+    input partition, so that at most one row per partition reaches the key's own task;
+    it keeps a second, short-lived entry per key.
+    """
+    timed = rows.withWatermark(event_time, within)
+    if salted:
+        spread = timed.withColumn("__salt", F.spark_partition_id())
+        timed = spread.dropDuplicatesWithinWatermark([*keys, "__salt"]).drop("__salt")
+    return timed.dropDuplicatesWithinWatermark(keys)
