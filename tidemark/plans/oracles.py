@@ -419,3 +419,7 @@ select 'cdc.' || connector || '.financeiro.' || tbl as topic, op, count(*) as ev
 select 'cdc.ora-fin.FIN.ORDERS' as topic, op, count(*) as events, min(k) as first_ord, max(k) as last_commit
 from redo where op <> 'DDL' and good and con = 'ORCLPDB1' and k >= 100 group by all"""),
 }
+
+# A stream gives what the batch gives.
+ORACLES["postgres_stream"] = ORACLES["postgres_published"]
+ORACLES["mysql_stream"] = ORACLES["mysql_published"]

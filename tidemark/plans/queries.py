@@ -23,7 +23,7 @@ from tidemark.plans import fixtures
 from tidemark.plans.normalise import normalise, publishable
 from tidemark.schema import TOAST_SENTINEL, from_event, to_event, with_event_id
 from tidemark.sources import catalogs, connectors, logs, snapshots
-from tidemark.streaming import gate, sinks
+from tidemark.streaming import gate, incremental, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -723,6 +723,32 @@ def postgres_published(spark: SparkSession, sf: str) -> DataFrame:
     return _published(committed)
 
 
+def _raw_stream(spark: SparkSession, landed: DataFrame, kind: str, **settings) -> DataFrame:
+    """Publish a landed log as a stream and read the events back."""
+    base = sinks.scratch_dir(spark, kind)
+    landed.write.parquet(f"{base}/landed")
+    stream = logs.stream_change_log(spark, f"{base}/landed", kind)
+    incremental.publish_raw(stream, kind, f"{base}/out", f"{base}/checkpoint", **settings).awaitTermination()
+    return spark.read.parquet(f"{base}/out/events")
+
+
+@query("postgres_stream")
+def postgres_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _raw_stream(spark, fixtures.pg_log(spark, sf), "postgres")
+    return rows.groupBy("topic", "op").agg(
+        F.count("*").alias("events"), F.min("ord").alias("first_ord"), F.max("commit_ord").alias("last_commit")
+    )
+
+
+@query("mysql_stream")
+def mysql_stream(spark: SparkSession, sf: str) -> DataFrame:
+    names = catalogs.column_dictionary(fixtures.column_catalog(spark, sf))
+    rows = _raw_stream(spark, fixtures.binlog(spark, sf), "mysql", dictionary=names, database="financeiro")
+    return rows.groupBy("topic", "op").agg(
+        F.count("*").alias("events"), F.min("ord").alias("first_ord"), F.max("commit_ord").alias("last_commit")
+    )
+
+
 @query("mysql_published")
 def mysql_published(spark: SparkSession, sf: str) -> DataFrame:
     names = catalogs.column_dictionary(fixtures.column_catalog(spark, sf))
