@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.transactions import is_data
 
-SALTS = 16
+SALTS = 8
 
 
 def _sides(log: DataFrame, lateness: str, salts: int) -> tuple[DataFrame, DataFrame]:
