@@ -43,15 +43,15 @@ GOLDEN = """{
   "eventId": "f47ac10b-58cc-4372-a567-0e02b2c3d479", "operation": "UPDATE", "timestamp": "2026-05-25T14:30:15Z",
   "source": {"connectorName": "oracle-rh", "connectorType": "oracle", "database": "ORCLPDB1", "schema": "RH",
     "table": "FUNCIONARIOS", "transactionId": "ora-tx-4500122", "offsetCoordinates": {"scn": "4500122"}},
-  "before": {"ID": "158", "NOME": "Leonardo Ramos", "CARGO": "Estagiário", "DEPARTAMENTO": "Inteligência"},
+  "before": {"ID": "158", "NOME": "Ana Souza", "CARGO": "Estagiário", "DEPARTAMENTO": "Inteligência"},
   "after": {"CARGO": "Analista de Desenvolvimento"}}"""
 
 
 def test_golden_event(spark):
     """An update statement becomes the documented message, text for text."""
     sql = (
-        """update "RH"."FUNCIONARIOS" set "CARGO" = 'Analista de Desenvolvimento', "NOME" = 'Leonardo Ramos' """
-        """where "ID" = '158' and "NOME" = 'Leonardo Ramos' and "CARGO" = 'Estagiário' and "DEPARTAMENTO" = 'Inteligência';"""
+        """update "RH"."FUNCIONARIOS" set "CARGO" = 'Analista de Desenvolvimento', "NOME" = 'Ana Souza' """
+        """where "ID" = '158' and "NOME" = 'Ana Souza' and "CARGO" = 'Estagiário' and "DEPARTAMENTO" = 'Inteligência';"""
     )
     row = spark.createDataFrame([(sql,)], "sql STRING").select(parse_update(F.col("sql")).alias("u")).select(
         F.lit("oracle-rh").alias("connector"), F.lit("oracle").alias("connector_type"), F.lit("ORCLPDB1").alias("database"),
