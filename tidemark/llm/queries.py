@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import mixing, pii, quality, sharding
+from tidemark.llm import decontaminate, jaccard, mixing, pii, quality, sharding, tokencount
 from tidemark.llm.store import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(read_table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(read_table(spark, sf_dir, "documents")).select("doc_id", "__spans")
     base = F.filter("__spans", lambda s: s["base"])
@@ -32,6 +40,14 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_classes(read_table(spark, sf_dir, "documents"), k=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_personal_data, op6_sharding, op8_quality_rules, op9_source_mix)
+    f.__name__: f for f in (
+        op2_token_counts, op3_decontamination, op4_personal_data, op6_sharding, op8_quality_rules,
+        op9_source_mix, op10_ngram_jaccard,
+    )
 }
