@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, jaccard, mixing, pii, quality, sharding, tokencount
+from tidemark.llm import decontaminate, jaccard, lm, mixing, pii, quality, sharding, tokencount
 from tidemark.llm.store import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("__spans")).alias("spans"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"), shards=24)
 
@@ -47,7 +51,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op2_token_counts, op3_decontamination, op4_personal_data, op6_sharding, op8_quality_rules,
+        op2_token_counts, op3_decontamination, op4_personal_data, op5_lm_score, op6_sharding, op8_quality_rules,
         op9_source_mix, op10_ngram_jaccard,
     )
 }
