@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, jaccard, lm, mixing, pii, quality, sharding, tokencount
+from tidemark.llm import decontaminate, htmltext, jaccard, lm, mixing, pii, quality, sharding, tokencount
 from tidemark.llm.store import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(read_table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op2_token_counts, op3_decontamination, op4_personal_data, op5_lm_score, op6_sharding, op8_quality_rules,
+        op1_main_text, op2_token_counts, op3_decontamination, op4_personal_data, op5_lm_score, op6_sharding, op8_quality_rules,
         op9_source_mix, op10_ngram_jaccard,
     )
 }
