@@ -201,7 +201,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``n_shingles``, ``component_id``, ``row_key`` (hash
-    of id and text).
+    of id and text), ``class_key`` (the same within a component, null without words).
 
     Sets of k-word shingles (A-Z lower-cased) link if their Jaccard index is at least
     ``percent`` hundredths; component_id is the least id that links reach. Texts with fewer
@@ -218,10 +218,30 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: s
     labels = _labels(grams, keyed, classes, k, percent)
     named = classes.join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_sig = written(named.join(least, "component").select("sig", "component_id"), "jaccard-components")
-    return rows.join(by_sig.withColumn("some", F.lit(True)), (rows["sig"] == by_sig["sig"]) & (rows["n"] > 0), "left").select(
-        rows["doc_id"], F.col("n").alias("n_shingles"),
-        F.when(F.col("some"), F.col("component_id")).otherwise(rows["doc_id"]).alias("component_id"), rows["row_key"])
+    by_sig = written(named.join(least, "component").select("sig", "component", "component_id"), "jaccard-components")
+    by_sig = by_sig.withColumnRenamed("sig", "own")
+    return rows.join(by_sig, (F.col("sig") == F.col("own")) & (F.col("n") > 0), "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "row_key", F.col("component").alias("class_key"))
+
+
+def one_per_class(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, of each component only the one with the least id. Texts without words
+    all stay. Of repeated rows that are the one, one stays.
+
+    Only the keys of the documents that go are matched with the texts, by broadcast if they
+    are few enough; the texts then do not move."""
+    found = written(jaccard_classes(docs, k, percent).where("class_key is not null").select("row_key", "doc_id", "class_key"), "jaccard-found")
+    first = found.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")).select("class_key", F.col("first.row_key").alias("first_key"))
+    marked = found.groupBy("class_key", "row_key").agg(F.count(F.lit(1)).alias("rows")).join(first, "class_key")
+    marked = written(marked.withColumn("stays", F.col("row_key") == F.col("first_key")).where("not stays or rows > 1").select("row_key", "stays"), "jaccard-marked")
+    side = F.broadcast(marked) if marked.count() <= BROADCAST_KEYS else marked
+    row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("__row"), F.xxhash64(F.col("doc_id"), F.col("text")).alias("row_key"))
+    joined = row.join(side, "row_key", "left")
+    whole = joined.where("stays is null").select("__row.*")
+    repeats = joined.where("stays").dropDuplicates(["row_key"]).select("__row.*")
+    return whole.union(repeats)
 
 
 def _labels(grams: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, htmltext, jaccard, lm, mixing, pii, quality, sharding, tokencount
+from tidemark.llm import decontaminate, dedup, htmltext, jaccard, lm, mixing, pii, quality, sharding, tokencount
 from tidemark.llm.store import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"), shards=24)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read_table(spark, sf_dir, "documents")).select("doc_id", "__q.*")
 
@@ -55,7 +59,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_main_text, op2_token_counts, op3_decontamination, op4_personal_data, op5_lm_score, op6_sharding, op8_quality_rules,
+        op1_main_text, op2_token_counts, op3_decontamination, op4_personal_data, op5_lm_score, op6_sharding, op7_suffix_dedup,
+        op8_quality_rules,
         op9_source_mix, op10_ngram_jaccard,
     )
 }
