@@ -29,7 +29,7 @@ from tidemark.llm.store import map_arrow, ship, written
 
 CELLS_LOG = 20
 CHUNK = 1 << 12  # cells per row of partial counts
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 BROADCAST_KEYS = 1_000_000
 
 
@@ -143,20 +143,29 @@ def _enough(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _counted(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that meet often enough; ``pairs`` has gram, a, n_a, b, n_b."""
-    return (
+def prefix_length(n: Column, percent: int) -> Column:
+    return F.least(n, n - F.ceil(n * percent / 100) + 1 + F.floor(n / 20))
+
+
+def _counted(pairs: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """Pairs (a, b) that meet often enough; ``pairs`` has gram, a, n_a, b, n_b.
+
+    ``whole``: the grams are all in which a pair meets. Linked sets have at least o grams in
+    common; the j-th of them is within the first j + n - o of either set, so they meet in
+    prefixes of lengths p at least p - (n - o) times, for the one of the two with less."""
+    met = (
         pairs.where(_enough("n_a", "n_b", percent))
         .groupBy("a", "b", "gram").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-        .where(F.col("met") > F.floor(F.least("n_a", "n_b") / 20))
-        .select("a", "b")
     )
+    common = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    least = F.least(*[prefix_length(F.col(n), percent) - F.col(n) + common for n in ("n_a", "n_b")])
+    return met.where(F.col("met") >= (least if whole else F.floor(F.least("n_a", "n_b") / 20) + 1)).select("a", "b", "met")
 
 
 def _linked(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets are similar enough."""
-    pairs = written(pairs, "jaccard-pairs")
+    pairs = written(pairs.select("a", "b"), "jaccard-pairs")
     needed = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
     keys = written(needed.join(classes, "sig").select("row_key", "sig"), "jaccard-needed")
     # A key has 16 bytes. Beyond the bound, the join shuffles the texts instead.
@@ -270,7 +279,19 @@ def _labels(grams: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, perc
             pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.component") != F.col("y.component"))
                            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))).select(
                 F.col("x.gram").alias("gram"), F.col("x.sig").alias("a"), F.col("x.n").alias("n_a"), F.col("y.sig").alias("b"), F.col("y.n").alias("n_b"))
-        found = written(_linked(_counted(pairs, percent), keyed, classes, k, percent), "jaccard-links")
+        meetings = _counted(pairs, percent, whole=turn == STAR_ROUNDS)
+        if turn == STAR_ROUNDS:
+            # Each set's best partner first; what that connects need not be compared.
+            meetings = written(meetings, "jaccard-meetings")
+            ends = meetings.select(F.col("a").alias("end"), "a", "b", "met").union(meetings.select("b", "a", "b", "met"))
+            best = ends.groupBy("end").agg(F.max(F.struct("met", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+            links = links.union(written(_linked(best, keyed, classes, k, percent), "jaccard-links"))
+            labels = components(links)
+            for end in ("a", "b"):
+                meetings = meetings.join(labels.select(F.col("sig").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+            meetings = meetings.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+            meetings = meetings.join(best.select("a", "b"), ["a", "b"], "left_anti")
+        found = written(_linked(meetings, keyed, classes, k, percent), "jaccard-links")
         links = found if links is None else links.union(found)
         labels = components(links)
     return labels
