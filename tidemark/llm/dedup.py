@@ -154,7 +154,7 @@ def _told(table: pa.Table) -> dict[int, dict[int, bytes]]:
     return found
 
 
-def _judge_anchors(key, table):
+def _judge_anchors(key, table, bucket):
     """Code of every asked (anchor, segment): see ONCE to MANY."""
     shard = key[0].as_py()
     parts, names, anchors, counts = table["part"].to_pylist(), [], [], []
@@ -171,7 +171,7 @@ def _judge_anchors(key, table):
     of = np.cumsum(new_anchor) - 1
     total = np.bincount(of, weights=count[order]).astype(np.int64)
     different = np.bincount(of, weights=new_pair).astype(np.int64)
-    code = np.where(total < 2, ONCE, np.where(different == 1, SAME, np.where(different <= BUCKET, SEVERAL, MANY))).astype(np.uint8)
+    code = np.where(total < 2, ONCE, np.where(different == 1, SAME, np.where(different <= bucket, SEVERAL, MANY))).astype(np.uint8)
     codes = np.zeros(len(anchor), np.uint8)
     codes[order] = code[of]
     cuts = np.cumsum([0] + sizes)
@@ -236,7 +236,8 @@ def _judge_segments(key, table):
     return _table(rows, REPLY_TYPES)
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", parts: int | None = None, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", parts: int | None = None, with_text: bool = False,
+                   bucket: int = BUCKET) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept_sha256``, and the remaining bytes as ``kept`` (binary: a cut may fall inside a
     character) if asked for.
@@ -245,7 +246,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     another; all occurrences go. Strings are judged on the input. Texts under 200 bytes, empty
     and null ones (empty) stay. Repeated rows are repeats of each other. A text may have up to
     256 MB. ``parts``: how many groups the documents are dealt into; one group is held in a
-    task. Empty input: no rows.
+    task. ``bucket``: how many segments of an anchor share a suffix array at most. Empty input:
+    no rows.
     """
     parts = parts or parts_of(docs)
     ship(docs.sparkSession)
@@ -261,7 +263,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 rows.append((1, s, number, EliasFano.encode(part.anchor[own]), part.name[own].tobytes(), pack(part.counts[own].astype(np.uint32))))
         return _table(rows, ASK_TYPES)
 
-    anchors = written(chosen.select("part", "text").groupBy("part").applyInArrow(ask_anchors, ASKS).groupBy("shard").applyInArrow(_judge_anchors, REPLIES), "repeats-anchors")
+    def judge_anchors(key, table):
+        return _judge_anchors(key, table, bucket)
+
+    anchors = written(chosen.select("part", "text").groupBy("part").applyInArrow(ask_anchors, ASKS).groupBy("shard").applyInArrow(judge_anchors, REPLIES), "repeats-anchors")
 
     def ask_segments(key, table, told):
         number = key[0].as_py()
