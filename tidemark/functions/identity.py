@@ -25,13 +25,16 @@ def offset_map(connector_type: Column, offset: Column) -> Column:
 
 def iso_instant(ts: Column) -> Column:
     """ISO-8601 UTC text with no, three or six fraction digits, whichever is exact."""
-    utc = F.to_utc_timestamp(ts, F.current_timezone())
+    # Counted from the epoch without a zone, so the session's zone and its gaps don't matter.
+    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    seconds = F.timestamp_add("SECOND", F.floor(F.unix_micros(ts) / 1_000_000).cast("long"), epoch).cast("string")
     micros = F.pmod(F.unix_micros(ts), F.lit(1_000_000))
-    return (
-        F.when(micros == 0, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(micros % 1000 == 0, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .otherwise(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    fraction = (
+        F.when(micros == 0, F.lit(""))
+        .when(micros % 1000 == 0, F.concat(F.lit("."), F.lpad((micros / 1000).cast("int").cast("string"), 3, "0")))
+        .otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
     )
+    return F.concat(F.translate(seconds, " ", "T"), fraction, F.lit("Z"))
 
 
 def event_json() -> Column:

@@ -32,12 +32,13 @@ def events_processed(log: DataFrame, include_control: bool = False, window: str
 def replication_lag(log: DataFrame, now: Column | None = None, accuracy: int = 10_000) -> DataFrame:
     """Lag between the change and its landing in milliseconds, never below zero.
 
-    Markers count too; rows without a time do not. Percentiles come from a sketch of
+    Markers count too; rows without a time, at either end, do not. Percentiles come from a sketch of
     fixed size, so one busy connector needs no more memory than any other.
     """
     landed = now if now is not None else F.col("ingested_at")
     lag_ms = F.greatest(F.unix_millis(landed) - F.unix_millis("ts"), F.lit(0))
-    timed = log.where(F.col("ts").isNotNull()).select("connector", lag_ms.alias("lag_ms"))
+    # greatest() skips nulls, so a row that has not landed would count as lag 0.
+    timed = log.where(F.col("ts").isNotNull() & landed.isNotNull()).select("connector", lag_ms.alias("lag_ms"))
     return timed.groupBy("connector").agg(
         F.count("lag_ms").alias("events"),
         F.sum("lag_ms").alias("total_ms"),

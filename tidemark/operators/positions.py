@@ -24,13 +24,16 @@ def usable_offsets(offsets: DataFrame) -> DataFrame:
 
 def resume(log: DataFrame, offsets: DataFrame, inclusive: bool = True) -> DataFrame:
     """Rows from each connector's stored position on; all rows of a connector without
-    one. The position itself is read again (``inclusive``), duplicates are removed later."""
-    stored = usable_offsets(offsets).select("connector", F.col("offset").alias("__stored"))
+    one. The position itself is read again (``inclusive``), duplicates are removed later.
+
+    Rows whose own offset is missing or malformed are kept, as it is not known that they were
+    read. Of several stored positions of a connector the greatest holds."""
+    stored = usable_offsets(offsets).groupBy("connector").agg(F.collect_set("offset").alias("__stored"))
     joined = side_join(log, stored, ["connector"], "left")
     here = offset_key(F.col("connector_type"), F.col("offset"))
-    start = offset_key(F.col("connector_type"), F.col("__stored"))
+    start = F.array_max(F.transform("__stored", lambda o: offset_key(F.col("connector_type"), o)))
     reached = here >= start if inclusive else here > start
-    return joined.where(start.isNull() | reached).drop("__stored")
+    return joined.where(start.isNull() | here.isNull() | reached).drop("__stored")
 
 
 def scn_position(redo: DataFrame) -> DataFrame:

@@ -96,7 +96,9 @@ def snapshot_needed(connectors: DataFrame, offsets: DataFrame) -> DataFrame:
 
 
 def snapshot_then_log(snapshot: DataFrame, log: DataFrame, base: str) -> DataFrame:
-    """Snapshot rows, then the log rows after the position the snapshot was taken at."""
+    """Snapshot rows, then the log rows after the position the snapshot was taken at, and
+    those whose offset can't be read."""
     kind = F.col("connector_type")
-    later = log.where(offset_key(kind, F.col("offset")) > offset_key(kind, F.lit(base)))
+    here = offset_key(kind, F.col("offset"))
+    later = log.where(here.isNull() | (here > offset_key(kind, F.lit(base))))
     return snapshot.unionByName(later)

@@ -72,11 +72,12 @@ def publish_batches(committed: DataFrame, path: str, checkpoint: str, pk: list[s
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        good = batch if dead is None else batch.where(~dead)
+        rejected = F.lit(False) if dead is None else F.coalesce(dead, F.lit(False))
+        good = batch.where(~rejected)
         where = f"batch={batch_id}"
         write_lake(good, f"{path}/events/{where}", mode="overwrite")
         if dead is not None:
-            batch.where(dead).write.mode("overwrite").parquet(f"{path}/dead_letters/{where}")
+            batch.where(rejected).write.mode("overwrite").parquet(f"{path}/dead_letters/{where}")
         if pk:
             latest_change(good, pk).write.mode("overwrite").parquet(f"{path}/latest/{where}")
         latest_offsets(batch).write.mode("overwrite").parquet(f"{path}/offsets/{where}")
@@ -104,7 +105,6 @@ def read_offsets(spark: SparkSession, path: str) -> DataFrame:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], "connector STRING, connector_type STRING, offset STRING, commit_ord BIGINT")
-    return saved.groupBy("connector", "connector_type").agg(
-        F.max_by("offset", F.struct("batch", "commit_ord")).alias("offset"),
-        F.max("commit_ord").alias("commit_ord"),
-    )
+    # Both from one row, so that they belong to one commit.
+    last = F.max_by(F.struct("offset", "commit_ord"), F.struct("batch", "commit_ord")).alias("last")
+    return saved.groupBy("connector", "connector_type").agg(last).select("connector", "connector_type", "last.offset", "last.commit_ord")
