@@ -60,6 +60,14 @@ _EACH_ASSIGN = rf"(?i)\G\s*+,?+\s*+({_NAME})\s*+=\s*+({_VALUE})"
 _EACH_TERM = rf"(?i)\G\s*+(?:AND\s++)?+({_NAME})\s*+(?:=\s*+({_VALUE})|(IS\s++NULL)|IS\s++NOT\s++NULL|(?:<>|!=|<=|>=|<|>)\s*+{_VALUE})"
 _WHOLE_TEXT = rf"^{_TEXT}$"
 
+# Calls may be nested to any depth; the patterns follow this many parentheses, and deeper
+# ones are exchanged for characters that text does not have.
+_DEPTH = 3
+_OPEN, _CLOSE = "﷐", "﷑"
+_MANY = rf"\((?:[^(]*+\(){{{_DEPTH}}}"
+_TOKEN = r"""'[^']*+'|"[^"]*+"|[()]|[^'"()]++|['"]"""
+_OUTSIDE = r"(?=(?:[^']*+'[^']*+')*+[^']*+$)"
+
 
 def _name(raw: Column, upper: bool) -> Column:
     bare = F.replace(raw, F.lit('"'), F.lit(""))
@@ -69,6 +77,8 @@ def _name(raw: Column, upper: bool) -> Column:
 def clean_value(raw: Column, literal_parity: bool) -> Column:
     """SQL literal → text. With ``literal_parity`` only the outer quotes go; otherwise
     NULL becomes null and doubled quotes become single ones."""
+    restored = F.regexp_replace(F.regexp_replace(raw, _OPEN + _OUTSIDE, "("), _CLOSE + _OUTSIDE, ")")
+    raw = F.when(raw.contains(_OPEN), restored).otherwise(raw)
     if literal_parity:
         return F.regexp_replace(raw, "^'|'$", "")
     inner = F.replace(F.substring(raw, F.lit(2), F.length(raw) - 2), F.lit("''"), F.lit("'"))
@@ -87,8 +97,24 @@ def _image(names: Column, values: Column, upper: bool, literal_parity: bool) ->
     )
 
 
+def _shallow(sql: Column) -> Column:
+    """The statement with parentheses nested deeper than the patterns follow exchanged for
+    marks, outside of literals. ``clean_value`` takes the marks back."""
+
+    def step(acc: Column, token: Column) -> Column:
+        opens, closes = token == "(", token == ")"
+        depth = acc["depth"] + F.when(opens, 1).otherwise(0)
+        marked = F.when(depth > _DEPTH, F.when(opens, F.lit(_OPEN)).when(closes, F.lit(_CLOSE)).otherwise(token)).otherwise(token)
+        return F.struct(
+            (depth - F.when(closes, 1).otherwise(0)).alias("depth"), F.concat(acc["text"], marked).alias("text")
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
+    return F.when(sql.rlike(_MANY), F.aggregate(_parts(sql, _TOKEN, 0), start, step)["text"]).otherwise(sql)
+
+
 def _body(sql: Column, pattern: str) -> Column:
-    return F.regexp_extract(F.coalesce(sql, F.lit("")), pattern, 1)
+    return F.regexp_extract(_shallow(F.coalesce(sql, F.lit(""))), pattern, 1)
 
 
 def _no_values() -> Column:

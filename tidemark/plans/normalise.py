@@ -25,8 +25,14 @@ def postgres(raw: DataFrame) -> DataFrame:
 
 
 def mysql(raw: DataFrame, dictionary: DataFrame, database: str | None = None) -> DataFrame:
-    nothing = F.lit(None).cast("string")
-    return binlog_events(raw, dictionary, database).withColumns({"reason": nothing, "raw": nothing})
+    rows = binlog_events(raw, dictionary, database, keep_unmapped=True)
+    unmapped = is_data() & F.col("schema").isNull()
+    return rows.withColumns(
+        {
+            "reason": F.when(unmapped, F.lit("table map unknown")),
+            "raw": F.when(unmapped, F.concat(F.lit("row event at "), F.col("offset"))),
+        }
+    )
 
 
 def oracle(raw: DataFrame, owner: str, start: int = 0, container: str | None = None,

@@ -153,7 +153,7 @@ _JSON = f"""'{{"eventId":"' || {_id()} || '","operation":"' || op || '","timesta
 _EVENTS = f"""select {_id()} as event_id, connector, connector_type, 'public' as "schema", tbl as "table", tx, op,
   epoch_us(ts) as ts_us, off as "offset", old_cents, new_cents, new_props from chlog"""
 
-_STATE = """(select *, row_number() over (partition by tbl, pk order by commit_ord desc, ord desc) as rn from committed)"""
+_STATE = """(select *, row_number() over (partition by connector, tbl, pk order by commit_ord desc, ord desc) as rn from committed)"""
 
 _SNAPSHOT = """
 select 'BEGIN' as op, 'system' as "schema", 'transaction' as "table", 'snapshot-tx' as tx,
@@ -271,6 +271,10 @@ select 'ora-fin' as connector, 'ORCLPDB1' as database, 'FIN' as "schema", 'ORDER
   coalesce(tx_name, 'ora-tx-' || cast(k as varchar)) as tx, op, epoch_us(o_orderdate) as ts_us, k as ord,
   cast(k as varchar) as "offset", k as commit_ord, cast(k as varchar) as commit_offset
 from redo where op <> 'DDL'"""),
+    "redo_nested": """
+select o_orderkey as k, cast(o_orderkey as varchar) as "key",
+  repeat('F(', cast(o_orderkey % 8 + 1 as integer)) || '''it''''s (''' || repeat(')', cast(o_orderkey % 8 + 1 as integer)) as value
+from orders""",
     "redo_insert": _redo("""
 select k as ord, cast(k as varchar) as key, o_orderstatus as status, 'TO_DATE(''2024-01-01'', ''YYYY-MM-DD'')' as date,
   'it''s, (' || o_orderpriority || ')' as note, cast(4 as integer) as n
@@ -334,7 +338,7 @@ select 'cdc.' || connector || '.public.' || tbl as topic, cast(pk as varchar) as
 select 'cdc.' || connector || '.public.' || tbl as topic, op, count(*) as events, max(ord) as last_ord
 from committed group by all"""),
     "published_batches": _chlog(f"""
-select tbl as "table", pk, op, ord, new_cents as cents from {_STATE} where rn = 1 and op <> 'DELETE'"""),
+select connector, tbl as "table", pk, op, ord, new_cents as cents from {_STATE} where rn = 1 and op <> 'DELETE'"""),
     # offsets
     "offset_value": _chlog("""select connector, ord, case when ord % 7 = 0 then '' else off end as "offset" from chlog"""),
     "offset_key": _chlog("""
@@ -395,8 +399,8 @@ from redo where op = 'UPDATE' and good"""),
 select pk, ord, coalesce(last_value(known ignore nulls) over (partition by pk order by ord), '__TOASTED_VALUE__') as props,
   new_cents as cents from images"""),
     "history": _chlog("""
-select tbl as "table", pk, commit_ord, ord, epoch_us(commit_ts) as from_us,
-  epoch_us(lead(commit_ts) over (partition by tbl, pk order by commit_ord, ord)) as to_us from committed"""),
+select connector, tbl as "table", pk, commit_ord, ord, epoch_us(commit_ts) as from_us,
+  epoch_us(lead(commit_ts) over (partition by connector, tbl, pk order by commit_ord, ord)) as to_us from committed"""),
     "changed_columns": _chlog("""
 select connector, 'public' as "schema", tbl as "table", 'cents' as "column", count(*) as changes
 from chlog where op = 'UPDATE' and old_cents <> new_cents group by all

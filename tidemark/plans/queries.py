@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.images import delta, full_after, name_columns
 from tidemark.functions.offsets import offset_key, offset_value
 from tidemark.functions.identity import offset_map
-from tidemark.functions.redo import obfuscate_sql
+from tidemark.functions.redo import obfuscate_sql, parse_insert
 from tidemark.operators import filters, lake, metrics, positions, routing
 from tidemark.operators import transactions as tx
 from tidemark.operators.mysql import binlog_events, resolve as resolve_binlog
@@ -337,6 +337,17 @@ def redo_framed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("redo_nested")
+def redo_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Values that are calls nested one to eight deep."""
+    depth = "cast(o_orderkey % 8 + 1 as int)"
+    rows = fixtures.table(spark, sf, "orders").selectExpr(
+        "o_orderkey as k", f"concat(repeat('F(', {depth}), '\\'it\\'\\'s (\\'', repeat(')', {depth})) as call"
+    )
+    sql = F.concat(F.lit("insert into ORDERS(K,V) values ("), F.col("k").cast("string"), F.lit(","), "call", F.lit(");"))
+    return rows.withColumn("image", parse_insert(sql)).select("k", item("image", "K").alias("key"), item("image", "V").alias("value"))
+
+
 @query("redo_insert")
 def redo_insert(spark: SparkSession, sf: str) -> DataFrame:
     rows = _redo(spark, sf).where((F.col("op") == "INSERT") & F.col("reason").isNull())
@@ -521,9 +532,9 @@ def published_batches(spark: SparkSession, sf: str) -> DataFrame:
     tx.commit_gate(fixtures.change_log(spark, sf)).write.parquet(f"{base}/committed")
     schema = spark.read.parquet(f"{base}/committed").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/committed")
-    sinks.publish_batches(stream, f"{base}/out", f"{base}/checkpoint", pk=["table", "pk"]).awaitTermination()
-    state = sinks.read_latest(spark, f"{base}/out", ["table", "pk"])
-    return state.select("table", "pk", "op", "ord", item("after", "cents").alias("cents"))
+    sinks.publish_batches(stream, f"{base}/out", f"{base}/checkpoint", pk=["connector", "table", "pk"]).awaitTermination()
+    state = sinks.read_latest(spark, f"{base}/out", ["connector", "table", "pk"])
+    return state.select("connector", "table", "pk", "op", "ord", item("after", "cents").alias("cents"))
 
 
 # --- offsets ------------------------------------------------------------------------
@@ -647,7 +658,7 @@ def typed_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query("current_state")
 def current_state(spark: SparkSession, sf: str) -> DataFrame:
     rows = tx.commit_gate(fixtures.change_log(spark, sf))
-    return lake.current_state(rows, ["table", "pk"]).select(
+    return lake.current_state(rows, ["connector", "table", "pk"]).select(
         "table", "pk", "op", "connector", "ord", "commit_ord", item("after", "cents").alias("cents"),
         item("after", "props").alias("props"),
     )
@@ -683,8 +694,8 @@ def fill_toast(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("history")
 def history(spark: SparkSession, sf: str) -> DataFrame:
-    rows = lake.history(tx.commit_gate(fixtures.change_log(spark, sf)), ["table", "pk"])
-    return rows.select("table", "pk", "commit_ord", "ord", us("valid_from").alias("from_us"), us("valid_to").alias("to_us"))
+    rows = lake.history(tx.commit_gate(fixtures.change_log(spark, sf)), ["connector", "table", "pk"])
+    return rows.select("connector", "table", "pk", "commit_ord", "ord", us("valid_from").alias("from_us"), us("valid_to").alias("to_us"))
 
 
 @query("changed_columns")
