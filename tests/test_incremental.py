@@ -52,6 +52,27 @@ def test_cut_log_equals_whole(spark, tmp_path, kind):
     assert dead.count() - reported.count() <= 8
 
 
+def test_every_row_is_accounted_for(spark, tmp_path):
+    """Abandoned transactions and rows that arrive late have outputs of their own."""
+    held_back = F.col("ord").between(2000, 2100)
+    whole = fixtures.pg_log(spark, SF)
+    raw = whole.where(~held_back)
+    landed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    land(raw, landed, [1234, 3000, 9000])
+    whole.where(held_back).coalesce(1).write.mode("append").parquet(landed)
+    stream = stream_change_log(spark, landed, "postgres", max_files=1)
+    publish_raw(stream, "postgres", out, str(tmp_path / "cp")).awaitTermination()
+    places = ["connector", "ord"]
+    committed, waiting, dead = publishable(normalise("postgres", raw))
+    pending = as_set(spark.read.parquet(f"{out}/pending/batch=4"), places)
+    abandoned = as_set(spark.read.parquet(f"{out}/abandoned"), places)
+    reported = as_set(spark.read.parquet(f"{out}/dead_letters"), places)
+    assert as_set(spark.read.parquet(f"{out}/events")) == as_set(committed)
+    assert abandoned and abandoned == as_set(waiting, places) - pending
+    assert reported and reported == as_set(dead, places) - pending
+    assert as_set(spark.read.parquet(f"{out}/late"), places) == as_set(whole.where(held_back), places)
+
+
 def test_decoded_log(spark, tmp_path):
     log = log_frame(spark, random_log(6))
     land(log, str(tmp_path / "in"), [100, 101, 350])

@@ -2,35 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-# At a kilobyte a row this is 50 MB per executor.
-BROADCAST_ROWS = 50_000
-SALTS = 32
 
-
-def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the side table, counted in parallel, has at most ``max_rows`` rows."""
-    return side.count() <= max_rows
-
-
-def side_join(rows: DataFrame, side: DataFrame, on: list[str], how: str = "left",
-              max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+def side_join(rows: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join ``rows`` to a side table that has few rows per key (``how``: inner, left,
     left_semi or left_anti).
 
-    A side that is counted and found small is broadcast, so the rows do not move.
-    Otherwise the side is repeated over ``salts`` and each row takes one salt, so that a
-    key holding a third of all rows is spread over that many tasks.
+    The strategy is left to adaptive execution, which knows the bytes of the side when it
+    has been computed: a small side is broadcast, otherwise both sides are shuffled and
+    partitions that a hot key fills are split.
     """
     if side.isStreaming:
         raise ValueError("the side table must be a batch table")
-    if fits_broadcast(side, max_rows):
-        return rows.join(F.broadcast(side), on, how)
-    # A retried task salts its rows as before: the salt depends on their content and on
-    # the input partition (so that equal rows do not all share one salt).
-    spread = [c for c, t in rows.dtypes if "map<" not in t and "variant" not in t]
-    salt = F.pmod(F.xxhash64(*spread) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    salted_rows = rows.withColumn("__salt", salt)
-    salted_side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_rows.join(salted_side, [*on, "__salt"], how).drop("__salt")
+    return rows.join(side, on, how)

@@ -66,6 +66,26 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _commit(kind: str) -> Column:
+    return _is_pg("C") if kind == "postgres" else is_commit()
+
+
+def _last_commits(raw: DataFrame, commit: Column, earlier: DataFrame | None) -> DataFrame:
+    """Position of the last commit seen, by connector."""
+    last = raw.where(commit).select("connector", F.col("ord").alias("last_commit"))
+    every = last if earlier is None else last.unionByName(earlier)
+    return every.groupBy("connector").agg(F.max("last_commit").alias("last_commit"))
+
+
+def _in_time(batch: DataFrame, last: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Split into rows after the last commit of the batches before, and late ones."""
+    if last is None:
+        return batch, batch.limit(0)
+    placed = side_join(batch, last, ["connector"], "left")
+    late = F.coalesce(F.col("ord") <= F.col("last_commit"), F.lit(False))
+    return placed.where(~late).select(*batch.columns), placed.where(late).select(*batch.columns)
+
+
 def _with_earlier_commits(rows: DataFrame, counts: DataFrame | None) -> DataFrame:
     """Transaction numbers count all commits of the log, not those of this batch."""
     if counts is None:
@@ -77,13 +97,20 @@ def _with_earlier_commits(rows: DataFrame, counts: DataFrame | None) -> DataFram
 
 def publish_raw(stream: DataFrame, kind: str, path: str, checkpoint: str, **settings) -> StreamingQuery:
     """Stream of landed rows of a kind (postgres, mysql, or log for decoded rows) → under
-    ``path``: ``events`` by topic, ``dead_letters`` and ``pending``, each with a folder
-    ``batch=<id>``. Stops when nothing is left to read."""
+    ``path``, each with a folder ``batch=<id>``: ``events`` by topic, ``pending``, and for
+    raw logs ``dead_letters``, ``abandoned`` (rows whose transaction no commit closed before
+    a later commit of the connector) and ``late`` (raw rows at or before a commit of an
+    earlier batch, whose place in the log has been dealt with). Every data row is in exactly
+    one of events, dead letters, abandoned, late and the last pending. Stops when nothing is
+    left to read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before, here = f"batch={batch_id - 1}", f"batch={batch_id}"
         pending = _read(spark, f"{path}/pending/{before}")
+        if kind != "log":
+            batch, late = _in_time(batch, _read(spark, f"{path}/positions/{before}"))
+            late.write.mode("overwrite").parquet(f"{path}/late/{here}")
         raw = batch if pending is None else batch.unionByName(pending)
         raw.persist()
         if kind == "log":
@@ -98,11 +125,14 @@ def publish_raw(stream: DataFrame, kind: str, path: str, checkpoint: str, **sett
                 total.groupBy("connector").agg(F.sum("commits").alias("commits")).write.mode("overwrite").parquet(
                     f"{path}/commits/{here}"
                 )
-            committed, _, dead = publishable(rows)
-            # A bad row of an open transaction is reported once, when that is closed.
+            committed, waiting, dead = publishable(rows)
+            # A row that is still pending is reported once, when its transaction is closed
+            # or a commit of the connector shows that it never will be.
             keep = pending_rows(kind, raw).select("connector", "ord")
-            dead.join(keep, ["connector", "ord"], "left_anti").write.mode("overwrite").parquet(
-                f"{path}/dead_letters/{here}"
+            for name, settled in (("dead_letters", dead), ("abandoned", waiting)):
+                settled.join(keep, ["connector", "ord"], "left_anti").write.mode("overwrite").parquet(f"{path}/{name}/{here}")
+            _last_commits(raw, _commit(kind), _read(spark, f"{path}/positions/{before}")).write.mode("overwrite").parquet(
+                f"{path}/positions/{here}"
             )
         write_lake(committed, f"{path}/events/{here}", mode="overwrite")
         pending_rows(kind, raw).write.mode("overwrite").parquet(f"{path}/pending/{here}")
