@@ -95,7 +95,8 @@ def pg_tuple(payload: Column, start) -> Column:
 
 
 def relation_definition(payload: Column) -> Column:
-    """``struct(schema, table, names)`` of a relation message.
+    """``struct(schema, table, names)`` of a relation message; ``names`` is null unless the
+    message holds as many columns as it declares.
 
     Bytes are viewed as Latin-1 so that one character is one byte, which lets the
     zero-terminated strings be split with ordinary string functions.
@@ -114,11 +115,12 @@ def relation_definition(payload: Column) -> Column:
     # (1), the name, a zero, type id (4) and modifier (4).
     columns = F.substring(rest, F.length(table) + 5, F.length(rest))
     names = F.regexp_extract_all(columns, F.lit(r"(?s)\G.([^\x00]*+)\x00.{8}"), F.lit(1))
+    declared = uint(payload, F.length(schema) + F.length(table) + 9, 2)
     return F.when(
         F.locate("\x00", body) > 0,
         F.struct(
             utf8(schema).alias("schema"),
             utf8(table).alias("table"),
-            F.transform(names, utf8).alias("names"),
+            F.when(F.size(names) == declared, F.transform(names, utf8)).alias("names"),
         ),
     )

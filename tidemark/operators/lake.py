@@ -8,7 +8,9 @@ from tidemark.functions.images import cast_failures, delta, typed_columns
 from tidemark.operators.ordered import BIN_BITS, Carry, carry
 from tidemark.schema import TOAST_SENTINEL
 
-# Order of changes in the lake: commit order, then arrival inside the transaction.
+# Order of changes in the lake: commit order, then arrival inside the transaction. Positions
+# compare within one connector only, so the keys below must hold the connector if there are
+# several.
 CHANGE_ORDER = ["commit_ord", "ord", "ordinal"]
 
 

@@ -73,16 +73,18 @@ def resolve(log: DataFrame, mode: str = "positional", bits: int = BIN_BITS) -> D
 
 
 def binlog_events(log: DataFrame, dictionary: DataFrame, database: str | None = None,
-                  mode: str = "positional", bits: int = BIN_BITS) -> DataFrame:
+                  mode: str = "positional", bits: int = BIN_BITS, keep_unmapped: bool = False) -> DataFrame:
     """Binlog events → log frame with ``commit_*`` columns (null in header mode).
 
-    ``dictionary`` has ``schema, table, names``. Rows without a table map are dropped, as
-    are rows of other databases when ``database`` is given, both before rows are unpacked.
+    ``dictionary`` has ``schema, table, names``. Rows of other databases are dropped when
+    ``database`` is given, before rows are unpacked. A row event without a table map is
+    dropped too, or kept as one row without schema, table and images.
     """
     resolved = resolve(log, mode, bits)
     data_event = F.col("event").isin(*ROW_EVENTS)
+    mapped = F.col("mapped").isNotNull()
     here = F.lit(True) if database is None else F.col("mapped.db") == database
-    usable = resolved.where(~data_event | (F.col("mapped").isNotNull() & here))
+    usable = resolved.where(~data_event | (mapped & here) | (~mapped & F.lit(keep_unmapped)))
     names = dictionary.select(
         F.col("schema").alias("__db"), F.col("table").alias("__table"), F.col("names").alias("__names")
     )
@@ -94,8 +96,8 @@ def binlog_events(log: DataFrame, dictionary: DataFrame, database: str | None =
     )
     named = side_join(placed, names, ["__db", "__table"], "left")
     # Markers have no row list; they pass through with one empty row.
-    unpacked = named.select("*", F.posexplode_outer(F.when(data_event, F.col("rows"))).alias("__pos", "__row")).where(
-        ~data_event | F.col("__row").isNotNull()
+    unpacked = named.select("*", F.posexplode_outer(F.when(data_event & mapped, F.col("rows"))).alias("__pos", "__row")).where(
+        ~data_event | ~mapped | F.col("__row").isNotNull()
     )
     operation = F.when(data_event, F.element_at(
         F.create_map(*[F.lit(x) for pair in ROW_EVENTS.items() for x in pair]), F.col("event")

@@ -111,6 +111,8 @@ def pg_events(raw: DataFrame, bits: int = BIN_BITS) -> DataFrame:
     control = F.col("type").isin("B", "C")
     intact = F.coalesce(F.col("old.ok"), F.lit(True)) & F.coalesce(F.col("new.ok"), F.lit(True))
     reason = F.when(~control & F.col("relation").isNull(), F.lit("relation unknown")).when(
+        ~control & F.col("relation.names").isNull(), F.lit("relation malformed")
+    ).when(
         ~control & ~intact, F.lit("tuple malformed")
     )
     operation = F.element_at(
