@@ -3,17 +3,19 @@ of documents that its links connect.
 
 The incidence matrix has a row per distinct set and a column per n-gram. Shuffled by n-gram,
 its columns form blocks; a block's share of the product is the number of n-grams that two
-sets have in common there, and the shares are summed per pair. Three bounds that follow from
-the sizes alone keep the product small and lose no link:
+sets have in common there, and the shares are summed per pair. Bounds that follow from the
+sizes alone keep the product small and lose no link:
 
 * sizes of linked sets differ by the threshold at most;
-* in an order common to all sets, linked sets meet in a short prefix of each (rarest first),
-  so the other columns need not be multiplied;
-* with a prefix lengthened by m, they meet there at least m + 1 times, so pairs that meet
-  less often are discarded before their sets are fetched and compared exactly.
-
-Equal sets are one row. Families of near copies are joined to one member first; only pairs
-of sets that are not yet connected are multiplied afterwards.
+* in an order common to all sets (rarest first), the first n-gram that linked sets share has
+  a place near the front of each, so only short prefixes are multiplied, the smaller set's
+  about half as long as the larger one's;
+* linked sets differ in few n-grams, and the parity of a set's hashes in 512 slots differs in
+  no more slots than the sets do in n-grams; pairs further apart get no row;
+* the n-grams met so far and those left behind the last one must suffice for the threshold.
+
+What passes is compared exactly. Equal sets are one row. Families of near copies are joined
+to one member first; only pairs of sets that are not yet connected are multiplied afterwards.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from tidemark.llm.store import map_arrow, ship, written
 CELLS_LOG = 20
 CHUNK = 1 << 12  # cells per row of partial counts
 STAR_ROUNDS = 1
+PARITIES = 8  # words of 64 bits
+BITS = [f"bits_{i}" for i in range(PARITIES)]
 BROADCAST_KEYS = 1_000_000
 
 
@@ -38,11 +42,6 @@ def least_common(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
-def margin(n: int | np.ndarray) -> int | np.ndarray:
-    """By how much prefixes are lengthened; linked sets then meet once more than this."""
-    return n // 20
-
-
 def sets_of(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of each text."""
     for row, data, offsets in text_slices(column):
@@ -59,36 +58,43 @@ def signature(values: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63)
 
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """Per slot of hashes whether a set has an odd number of them, as PARITIES words."""
+    slots = (values & U(64 * PARITIES - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slots, minlength=64 * PARITIES) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _batch(columns: list, names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
 def _first_pass(keyed: DataFrame, k: int) -> DataFrame:
-    """Per text its set's size and name, and per task the counts of hash cells."""
+    """Per text its set's size, name and parities, and per task the counts of hash cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELLS_LOG, dtype=np.int32)
-        names = ["row_key", "doc_id", "n", "sig", "chunk", "counts"]
+        names = ["row_key", "doc_id", "n", "sig", *BITS, "chunk", "counts"]
         for batch in batches:
             sizes, sigs = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            bits = np.zeros((PARITIES, len(batch)), np.int64)
             for row, values in sets_of(batch.column(2), k):
                 sizes[row] = len(values)
                 if len(values):
-                    sigs[row] = signature(values)
+                    sigs[row], bits[:, row] = signature(values), parities(values)
                     np.add.at(cells, (values >> U(64 - CELLS_LOG)).astype(np.int64), 1)
             nothing = [None] * len(batch)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes), pa.array(sigs), pa.array(nothing, pa.int32()), pa.array(nothing, pa.binary())], names=names)
+                [batch.column(0), batch.column(1), pa.array(sizes), pa.array(sigs), *map(pa.array, bits), pa.array(nothing, pa.int32()), pa.array(nothing, pa.binary())], names=names)
         used = [c for c in range(len(cells) // CHUNK) if cells[c * CHUNK : (c + 1) * CHUNK].any()]
         nothing = [None] * len(used)
-        yield _batch([nothing, nothing, nothing, nothing, used, [cells[c * CHUNK : (c + 1) * CHUNK].tobytes() for c in used]], names,
-                     [pa.int64(), keyed_type, pa.int64(), pa.int64(), pa.int32(), pa.binary()])
+        yield _batch([*[nothing] * (4 + PARITIES), used, [cells[c * CHUNK : (c + 1) * CHUNK].tobytes() for c in used]], names,
+                     [pa.int64(), keyed_type, *[pa.int64()] * (2 + PARITIES), pa.int32(), pa.binary()])
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     keyed_type = to_arrow_type(keyed.schema["doc_id"].dataType)
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    return map_arrow(keyed, run, f"row_key long, doc_id {kind}, n long, sig long, chunk int, counts binary")
+    return map_arrow(keyed, run, f"row_key long, doc_id {kind}, n long, sig long, {' long, '.join(BITS)} long, chunk int, counts binary")
 
 
 def _cell_counts(first: DataFrame) -> np.ndarray:
@@ -111,56 +117,73 @@ def _cell_counts(first: DataFrame) -> np.ndarray:
 
 
 def _prefixes(keyed: DataFrame, k: int, percent: int, cells: np.ndarray) -> DataFrame:
-    """Incidences (gram, sig, n) in the lengthened prefixes. The order is by the count of the
+    """Incidences (gram, sig, n, place) in the prefixes. The order is by the count of the
     gram's cell, then its hash: any order common to all sets gives the same links, this one
     puts grams first that few sets share."""
     shared = keyed.sparkSession.sparkContext.broadcast(cells)
 
+    def whole(*parts: list) -> pa.RecordBatch:
+        return _batch([np.concatenate(x) for x in parts], ["gram", "sig", "n", "place"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            grams, sigs, sizes, held = [], [], [], 0
+            grams, sigs, sizes, places, held = [], [], [], [], 0
             for _, values in sets_of(batch.column(2), k):
                 n = len(values)
                 if not n:
                     continue
-                length = min(n, n - int(least_common(n, percent)) + 1 + margin(n))
+                length = min(n, n - int(least_common(n, percent)) + 1)
                 order = np.lexsort((values, counts[(values >> U(64 - CELLS_LOG)).astype(np.int64)]))[:length]
                 grams.append(values[order].view(np.int64))
                 sigs.append(np.full(length, signature(values)))
                 sizes.append(np.full(length, n, dtype=np.int32))
+                places.append(np.arange(length, dtype=np.int32))
                 held += length
                 if held > 200_000:
-                    yield _batch([np.concatenate(x) for x in (grams, sigs, sizes)], ["gram", "sig", "n"], [pa.int64(), pa.int64(), pa.int32()])
-                    grams, sigs, sizes, held = [], [], [], 0
+                    yield whole(grams, sigs, sizes, places)
+                    grams, sigs, sizes, places, held = [], [], [], [], 0
             if held:
-                yield _batch([np.concatenate(x) for x in (grams, sigs, sizes)], ["gram", "sig", "n"], [pa.int64(), pa.int64(), pa.int32()])
+                yield whole(grams, sigs, sizes, places)
+
+    return map_arrow(keyed, run, "gram long, sig long, n int, place int")
+
+
+def _common(x: str, y: str, percent: int) -> Column:
+    """N-grams that linked sets of these sizes have in common: at least this."""
+    return F.ceil(percent * (F.col(f"{x}.n") + F.col(f"{y}.n")) / (100 + percent))
 
-    return map_arrow(keyed, run, "gram long, sig long, n int")
 
+def _apart(x: str, y: str) -> Column:
+    """Slots in which the parities of two sets differ."""
+    return sum((F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in BITS[1:]), F.bit_count(F.col(f"{x}.{BITS[0]}").bitwiseXOR(F.col(f"{y}.{BITS[0]}"))))
 
-def _enough(a: str, b: str, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
+def _near(x: str, y: str, percent: int) -> Column:
+    """Bounds by the sizes and by the parities."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (_apart(x, y) <= n + m - 2 * _common(x, y, percent))
 
-def prefix_length(n: Column, percent: int) -> Column:
-    return F.least(n, n - F.ceil(n * percent / 100) + 1 + F.floor(n / 20))
 
+def _product(open_rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets that are not connected, with the distance of their parities.
 
-def _counted(pairs: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Pairs (a, b) that meet often enough; ``pairs`` has gram, a, n_a, b, n_b.
+    x is the larger set, or of equal ones that with the greater name. The n-grams in common
+    come in the same order in both sets; those within the places below are the first of them,
+    so at most as many are left as either set has behind the last one met."""
+    def left_out(n: Column) -> Column:  # for the partner that allows most
+        return n - F.ceil(2 * percent * n / (100 + percent))
 
-    ``whole``: the grams are all in which a pair meets. Linked sets have at least o grams in
-    common; the j-th of them is within the first j + n - o of either set, so they meet in
-    prefixes of lengths p at least p - (n - o) times, for the one of the two with less."""
-    met = (
-        pairs.where(_enough("n_a", "n_b", percent))
-        .groupBy("a", "b", "gram").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-    )
-    common = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
-    least = F.least(*[prefix_length(F.col(n), percent) - F.col(n) + common for n in ("n_a", "n_b")])
-    return met.where(F.col("met") >= (least if whole else F.floor(F.least("n_a", "n_b") / 20) + 1)).select("a", "b", "met")
+    x, y = open_rows.alias("x"), open_rows.where(F.col("place") <= left_out(F.col("n"))).alias("y")
+    common = _common("x", "y", percent)
+    ordered = (F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.sig") > F.col("y.sig")))
+    places = (F.col("x.place") <= F.col("x.n") - common) & (F.col("y.place") <= F.col("y.n") - common)
+    rows = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & ordered & places & _near("x", "y", percent)).select(
+        F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), common.alias("common"), _apart("x", "y").alias("apart"),
+        F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) - 1)
+    rows = rows.toDF("a", "b", "common", "apart", "left")
+    met = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("left").alias("left"), F.max("common").alias("common"), F.max("apart").alias("apart"))
+    return met.where(F.col("met") + F.col("left") >= F.col("common")).select("a", "b", "apart")
 
 
 def _linked(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -221,11 +244,11 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: s
     """
     keyed = docs.select(F.xxhash64(F.col(id_column), F.col(text_column)).alias("row_key"), F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     first = written(_first_pass(keyed, k), "jaccard-first")
-    rows = first.where("chunk is null").select("row_key", "doc_id", "n", "sig")
-    classes = written(rows.where("n > 0").groupBy("sig").agg(F.min("row_key").alias("row_key"), F.min("doc_id").alias("least_id")), "jaccard-classes")
+    rows = first.where("chunk is null").select("row_key", "doc_id", "n", "sig", *BITS)
+    classes = written(rows.where("n > 0").groupBy("sig").agg(F.min("row_key").alias("row_key"), F.min("doc_id").alias("least_id"), *[F.max(b).alias(b) for b in BITS]), "jaccard-classes")
     grams = written(_prefixes(keyed, k, percent, _cell_counts(first)), "jaccard-grams")
     labels = _labels(grams, keyed, classes, k, percent)
-    named = classes.join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    named = classes.drop(*BITS).join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_sig = written(named.join(least, "component").select("sig", "component", "component_id"), "jaccard-components")
     by_sig = by_sig.withColumnRenamed("sig", "own")
@@ -257,43 +280,32 @@ def _labels(grams: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, perc
     """(sig, component) of the sets that have links."""
     shared = grams.groupBy("gram").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low < high").select("gram")
     # Only columns with two sets or more are multiplied; copies of a set are one.
-    own = written(grams.join(shared, "gram").groupBy("gram", "sig").agg(F.first("n").alias("n")), "jaccard-shared")
-    links, labels = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        if labels is None:
-            marked = own.withColumn("component", F.col("sig"))
-        else:
-            marked = own.join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-        open_grams = marked.groupBy("gram").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min_by(F.struct("sig", "n", "component"), F.xxhash64("sig", F.lit(turn))).alias("head")).where("low < high")
-        if turn < STAR_ROUNDS:
-            # One member of each column against the others.
-            pairs = marked.join(open_grams.select("gram", "head"), "gram").where(F.col("component") != F.col("head.component")).select(
-                "gram", F.least("sig", "head.sig").alias("a"), F.when(F.col("sig") < F.col("head.sig"), F.col("n")).otherwise(F.col("head.n")).alias("n_a"),
-                F.greatest("sig", "head.sig").alias("b"), F.when(F.col("sig") < F.col("head.sig"), F.col("head.n")).otherwise(F.col("n")).alias("n_b"))
-        else:
-            # All pairs of sets that are not connected yet.
-            left = written(marked.join(open_grams.select("gram"), "gram"), "jaccard-open")
-            x, y = left.alias("x"), left.alias("y")
-            pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.component") != F.col("y.component"))
-                           & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))).select(
-                F.col("x.gram").alias("gram"), F.col("x.sig").alias("a"), F.col("x.n").alias("n_a"), F.col("y.sig").alias("b"), F.col("y.n").alias("n_b"))
-        meetings = _counted(pairs, percent, whole=turn == STAR_ROUNDS)
-        if turn == STAR_ROUNDS:
-            # Each set's best partner and a quarter of the other pairs first; what these
-            # connect need not be compared.
-            meetings = written(meetings, "jaccard-meetings")
-            ends = meetings.select(F.col("a").alias("end"), "a", "b", "met").union(meetings.select("b", "a", "b", "met"))
-            best = ends.groupBy("end").agg(F.max(F.struct("met", "a", "b")).alias("p")).select("p.a", "p.b")
-            best = written(best.union(meetings.where(F.pmod(F.xxhash64("a", "b"), F.lit(4)) == 0).select("a", "b")).distinct(), "jaccard-best")
-            links = links.union(written(_linked(best, keyed, classes, k, percent), "jaccard-links"))
-            labels = components(links)
-            for end in ("a", "b"):
-                meetings = meetings.join(labels.select(F.col("sig").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
-            meetings = meetings.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-            meetings = meetings.join(best.select("a", "b"), ["a", "b"], "left_anti")
-        found = written(_linked(meetings, keyed, classes, k, percent), "jaccard-links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-    return labels
+    own = grams.join(shared, "gram").groupBy("gram", "sig").agg(F.first("n").alias("n"), F.first("place").alias("place"))
+    own = written(own.join(classes.select("sig", *BITS), "sig"), "jaccard-shared")
+    # One member of each column against the others.
+    marked, links, labels = own.withColumn("component", F.col("sig")), None, None
+    for turn in range(STAR_ROUNDS):
+        heads = marked.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                           F.min_by(F.struct("sig", "n", "component", *BITS), F.xxhash64("sig", F.lit(turn))).alias("head")).where("low < high")
+        x, y = marked.alias("x"), heads.select("gram", "head.*").alias("y")
+        pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & _near("x", "y", percent)).select(
+            F.greatest("x.sig", "y.sig").alias("a"), F.least("x.sig", "y.sig").alias("b")).distinct()
+        marked, links, labels = _marked(own, links, written(_linked(pairs, keyed, classes, k, percent), "jaccard-links"))
+    # All pairs of sets that are not connected yet.
+    still = marked.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram")
+    pairs = written(_product(written(marked.join(still, "gram"), "jaccard-open"), percent), "jaccard-meetings")
+    # Each set's nearest partner first; what these connect need not be compared.
+    ends = pairs.select(F.col("a").alias("end"), "a", "b", "apart").union(pairs.select("b", "a", "b", "apart"))
+    best = written(ends.groupBy("end").agg(F.min(F.struct("apart", "a", "b")).alias("p")).select("p.a", "p.b").distinct(), "jaccard-best")
+    _, links, labels = _marked(own, links, written(_linked(best, keyed, classes, k, percent), "jaccard-links"))
+    for end in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("sig").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    pairs = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).join(best, ["a", "b"], "left_anti")
+    return _marked(own, links, written(_linked(pairs, keyed, classes, k, percent), "jaccard-links"))[2]
+
+
+def _marked(own: DataFrame, links: DataFrame | None, found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Incidences with their component, all links, and components, after more links."""
+    links = found if links is None else links.union(found)
+    labels = components(links)
+    return own.join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig")), links, labels
