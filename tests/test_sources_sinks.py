@@ -155,6 +155,13 @@ def test_jdbc_options():
         snapshots.jdbc_options("jdbc:x", "t", "id")
 
 
+def test_kafka_rows_keep_their_place(spark):
+    """Offsets repeat between partitions."""
+    raw = spark.sql("select cast('{}' as binary) as value, 'cdc.a' as topic, p as partition, 7L as offset, now() as timestamp from values (0), (1) as t(p)")
+    rows = logs.kafka_rows(raw).select("value", "topic", "partition", "ord").collect()
+    assert sorted(map(tuple, rows)) == [("{}", "cdc.a", 0, 7), ("{}", "cdc.a", 1, 7)]
+
+
 def test_kafka_options():
     assert sinks.kafka_options("h:9092")["kafka.acks"] == "all"
     assert logs.kafka_source_options("h:9092", "cdc.*")["startingOffsets"] == "earliest"

@@ -427,3 +427,7 @@ from redo where op <> 'DDL' and good and con = 'ORCLPDB1' and k >= 100 group by
 # A stream gives what the batch gives.
 ORACLES["postgres_stream"] = ORACLES["postgres_published"]
 ORACLES["mysql_stream"] = ORACLES["mysql_published"]
+ORACLES["stream_accounting"] = _pg("""
+select case when reason is not null then 'dead letter' when commit_ord is null then 'waiting' else 'published' end as outcome,
+  connector, count(*) as n_rows, cast(sum(ord) as bigint) as sum_ord
+from pg group by all""")

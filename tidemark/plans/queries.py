@@ -7,6 +7,7 @@ without zones.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -734,18 +735,26 @@ def postgres_published(spark: SparkSession, sf: str) -> DataFrame:
     return _published(committed)
 
 
-def _raw_stream(spark: SparkSession, landed: DataFrame, kind: str, **settings) -> DataFrame:
-    """Publish a landed log as a stream and read the events back."""
+STREAM_BATCHES = 5
+
+
+def _raw_stream(spark: SparkSession, landed: DataFrame, kind: str, **settings) -> str:
+    """Publish a log as a stream that lands piece by piece, each a batch of its own; the
+    folder of the outputs."""
     base = sinks.scratch_dir(spark, kind)
-    landed.write.parquet(f"{base}/landed")
-    stream = logs.stream_change_log(spark, f"{base}/landed", kind)
-    incremental.publish_raw(stream, kind, f"{base}/out", f"{base}/checkpoint", **settings).awaitTermination()
-    return spark.read.parquet(f"{base}/out/events")
+    landed.write.parquet(f"{base}/whole")
+    whole = spark.read.schema(landed.schema).parquet(f"{base}/whole")
+    end = (whole.agg(F.max("ord")).first()[0] or 0) + 1
+    for piece in range(STREAM_BATCHES):
+        whole.where(F.floor(F.col("ord") * STREAM_BATCHES / end) == piece).write.mode("append").parquet(f"{base}/landed")
+        stream = logs.stream_change_log(spark, f"{base}/landed", kind)
+        incremental.publish_raw(stream, kind, f"{base}/out", f"{base}/checkpoint", **settings).awaitTermination()
+    return f"{base}/out"
 
 
 @query("postgres_stream")
 def postgres_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _raw_stream(spark, fixtures.pg_log(spark, sf), "postgres")
+    rows = spark.read.parquet(_raw_stream(spark, fixtures.pg_log(spark, sf), "postgres") + "/events")
     return rows.groupBy("topic", "op").agg(
         F.count("*").alias("events"), F.min("ord").alias("first_ord"), F.max("commit_ord").alias("last_commit")
     )
@@ -754,12 +763,28 @@ def postgres_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query("mysql_stream")
 def mysql_stream(spark: SparkSession, sf: str) -> DataFrame:
     names = catalogs.column_dictionary(fixtures.column_catalog(spark, sf))
-    rows = _raw_stream(spark, fixtures.binlog(spark, sf), "mysql", dictionary=names, database="financeiro")
+    rows = spark.read.parquet(_raw_stream(spark, fixtures.binlog(spark, sf), "mysql", dictionary=names, database="financeiro") + "/events")
     return rows.groupBy("topic", "op").agg(
         F.count("*").alias("events"), F.min("ord").alias("first_ord"), F.max("commit_ord").alias("last_commit")
     )
 
 
+@query("stream_accounting")
+def stream_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    """Every data row of a log that came in pieces, by what became of it. Rows still pending
+    after the last piece count as what they are by then."""
+    out = _raw_stream(spark, fixtures.pg_log(spark, sf), "postgres")
+    _, waiting, dead = publishable(normalise("postgres", spark.read.parquet(f"{out}/pending/batch={STREAM_BATCHES - 1}")))
+    parts = [
+        ("published", spark.read.parquet(f"{out}/events")),
+        ("dead letter", spark.read.parquet(f"{out}/dead_letters")), ("dead letter", dead),
+        ("waiting", spark.read.parquet(f"{out}/abandoned")), ("waiting", waiting),
+        ("late", spark.read.parquet(f"{out}/late")),
+    ]
+    rows = reduce(DataFrame.unionAll, [rows.select(F.lit(name).alias("outcome"), "connector", "ord") for name, rows in parts])
+    return rows.groupBy("outcome", "connector").agg(F.count("*").alias("n_rows"), F.sum("ord").alias("sum_ord"))
+
+
 @query("mysql_published")
 def mysql_published(spark: SparkSession, sf: str) -> DataFrame:
     names = catalogs.column_dictionary(fixtures.column_catalog(spark, sf))

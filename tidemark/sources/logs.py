@@ -43,18 +43,25 @@ def kafka_source_options(servers: str, topics: str, starting: str = "earliest",
     return {"kafka.bootstrap.servers": servers, "subscribePattern": topics, "startingOffsets": starting, **extra}
 
 
-def read_kafka(spark: SparkSession, servers: str, topics: str, stream: bool = False, **extra: str) -> DataFrame:
-    """Published events from Kafka as ``value, ord, ingested_at``; needs Spark's Kafka
-    package on the class path."""
-    reader = (spark.readStream if stream else spark.read).format("kafka")
-    raw = reader.options(**kafka_source_options(servers, topics, **extra)).load()
+def kafka_rows(raw: DataFrame) -> DataFrame:
+    """Kafka records → ``value, topic, partition, ord, ingested_at``. ``ord`` is the offset,
+    which is unique and ordered within a topic's partition only: order and keys are
+    (topic, partition, ord)."""
     return raw.select(
         F.col("value").cast("string").alias("value"),
+        "topic", "partition",
         F.col("offset").alias("ord"),
         F.col("timestamp").alias("ingested_at"),
     )
 
 
+def read_kafka(spark: SparkSession, servers: str, topics: str, stream: bool = False, **extra: str) -> DataFrame:
+    """Published events from Kafka, see ``kafka_rows``; needs Spark's Kafka package on the
+    class path."""
+    reader = (spark.readStream if stream else spark.read).format("kafka")
+    return kafka_rows(reader.options(**kafka_source_options(servers, topics, **extra)).load())
+
+
 def events_from_json(texts: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Event JSON → flat columns with ``reason``, null for valid events. Text that is not
     JSON and events without their required fields stay in the frame with a reason."""
