@@ -31,7 +31,6 @@ from tidemark.llm.store import map_arrow, ship, written
 
 CELLS_LOG = 20
 CHUNK = 1 << 12  # cells per row of partial counts
-STAR_ROUNDS = 1
 PARITIES = 8  # words of 64 bits
 BITS = [f"bits_{i}" for i in range(PARITIES)]
 BROADCAST_KEYS = 1_000_000
@@ -231,7 +230,7 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after.select("sig", "component")
 
 
-def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text", stars: int = 1) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_shingles``, ``component_id``, ``row_key`` (hash
     of id and text), ``class_key`` (the same within a component, null without words).
 
@@ -240,14 +239,15 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: s
     words than k are one shingle; null texts and those without words have none, link with
     nothing and are components of their own. Rows with a null id take part; they count for
     no least id, and are null among themselves. Repeated rows fall in one component.
-    Hashes of 64 bits stand for shingles and sets. An empty table gives an empty result.
+    Hashes of 64 bits stand for shingles and sets. ``stars``: rounds (at least 1) that join
+    families to a member before the product; it bears on cost, not on results. An empty table gives an empty result.
     """
     keyed = docs.select(F.xxhash64(F.col(id_column), F.col(text_column)).alias("row_key"), F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     first = written(_first_pass(keyed, k), "jaccard-first")
     rows = first.where("chunk is null").select("row_key", "doc_id", "n", "sig", *BITS)
     classes = written(rows.where("n > 0").groupBy("sig").agg(F.min("row_key").alias("row_key"), F.min("doc_id").alias("least_id"), *[F.max(b).alias(b) for b in BITS]), "jaccard-classes")
     grams = written(_prefixes(keyed, k, percent, _cell_counts(first)), "jaccard-grams")
-    labels = _labels(grams, keyed, classes, k, percent)
+    labels = _labels(grams, keyed, classes, k, percent, stars)
     named = classes.drop(*BITS).join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_sig = written(named.join(least, "component").select("sig", "component", "component_id"), "jaccard-components")
@@ -258,13 +258,13 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: s
         "row_key", F.col("component").alias("class_key"))
 
 
-def one_per_class(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def one_per_class(docs: DataFrame, k: int = 5, percent: int = 80, stars: int = 3) -> DataFrame:
     """The documents, of each component only the one with the least id. Texts without words
     all stay. Of repeated rows that are the one, one stays.
 
     Only the keys of the documents that go are matched with the texts, by broadcast if they
     are few enough; the texts then do not move."""
-    found = written(jaccard_classes(docs, k, percent).where("class_key is not null").select("row_key", "doc_id", "class_key"), "jaccard-found")
+    found = written(jaccard_classes(docs, k, percent, stars=stars).where("class_key is not null").select("row_key", "doc_id", "class_key"), "jaccard-found")
     first = found.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")).select("class_key", F.col("first.row_key").alias("first_key"))
     marked = found.groupBy("class_key", "row_key").agg(F.count(F.lit(1)).alias("rows")).join(first, "class_key")
     marked = written(marked.withColumn("stays", F.col("row_key") == F.col("first_key")).where("not stays or rows > 1").select("row_key", "stays"), "jaccard-marked")
@@ -276,7 +276,7 @@ def one_per_class(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     return whole.union(repeats)
 
 
-def _labels(grams: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+def _labels(grams: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int, stars: int) -> DataFrame:
     """(sig, component) of the sets that have links."""
     shared = grams.groupBy("gram").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low < high").select("gram")
     # Only columns with two sets or more are multiplied; copies of a set are one.
@@ -284,7 +284,7 @@ def _labels(grams: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, perc
     own = written(own.join(classes.select("sig", *BITS), "sig"), "jaccard-shared")
     # One member of each column against the others.
     marked, links, labels = own.withColumn("component", F.col("sig")), None, None
-    for turn in range(STAR_ROUNDS):
+    for turn in range(stars):
         heads = marked.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                            F.min_by(F.struct("sig", "n", "component", *BITS), F.xxhash64("sig", F.lit(turn))).alias("head")).where("low < high")
         x, y = marked.alias("x"), heads.select("gram", "head.*").alias("y")
