@@ -206,3 +206,10 @@ def test_main_text(spark):
     assert out[3]["text"] == "Text 3" and out[3]["n_chars"] == 6
     assert out[7]["text"] == "" and out[8]["text"] == "a b"
     assert htmltext.main_text(table).count() == len(pages) and htmltext.main_text(table.limit(0)).count() == 0
+
+
+def test_main_text_keeps_paragraphs_whose_count_varies(spark):
+    frame = "<html><body><div class='content'><h1>Title {n}</h1>{p}</div><div class='z'>Same words</div></body></html>"
+    pages = [(i, f"http://v.example/{i}", frame.format(n=i, p="".join(f"<p>Text {i}.{j}</p>" for j in range(i + 1)))) for i in range(5)]
+    out = {r["page_id"]: r["text"] for r in htmltext.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out == {i: "\n".join([f"Title {i}", *[f"Text {i}.{j}" for j in range(i + 1)]]) for i in range(5)}

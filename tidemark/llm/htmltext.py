@@ -141,18 +141,9 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def slot_of(path: list[str], template: set[str] | None) -> str:
-    """The innermost template tag around a text."""
-    if template is not None:
-        for token in reversed(path):
-            if token in template:
-                return token
-    return path[-1] if path else ""
-
-
 def _occurrences(pages: DataFrame) -> DataFrame:
     """Per host and token, merged over the pages of a batch: pages, sum of hashes of (page,
-    count), least and greatest hash of the text directly in it."""
+    count), least and greatest hash of the text directly in it, pages with such text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -170,27 +161,29 @@ def _occurrences(pages: DataFrame) -> DataFrame:
                 host = host_of(url)
                 for token, n in counts.items():
                     vector = xxhash.xxh3_64_intdigest(f"{page} {n}") >> 24  # 40 bits, so sums stay exact
-                    text = xxhash.xxh3_64_intdigest(" ".join(" ".join(texts.get(token, ())).split())) >> 1
+                    direct = " ".join(" ".join(texts.get(token, ())).split())
+                    text = xxhash.xxh3_64_intdigest(direct) >> 1
                     own = found.get((host, token))
                     if own is None:
-                        found[host, token] = [1, vector, text, text]
+                        found[host, token] = [1, vector, text, text, int(bool(direct))]
                     else:
                         own[0] += 1
                         own[1] += vector
                         own[2], own[3] = min(own[2], text), max(own[3], text)
+                        own[4] += bool(direct)
             hosts, tokens = [k[0] for k in found], [k[1] for k in found]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tokens, pa.string()), *[pa.array([v[i] for v in found.values()], pa.int64()) for i in range(4)]],
-                                             names=["host", "token", "pages", "vector", "low", "high"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tokens, pa.string()), *[pa.array([v[i] for v in found.values()], pa.int64()) for i in range(5)]],
+                                             names=["host", "token", "pages", "vector", "low", "high", "texts"])
 
-    return map_arrow(pages, run, "host string, token string, pages long, vector long, low long, high long")
+    return map_arrow(pages, run, "host string, token string, pages long, vector long, low long, high long, texts long")
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host: ``tokens`` of its template and ``constant``, those of them whose text is the
-    same on all pages while that of others differs."""
+    """Per host: ``tokens`` of its template and ``constant``, those of them with text of their
+    own that is the same on all pages while that of others differs."""
     tokens = written(
         _occurrences(pages).groupBy("host", "token").agg(
-            F.sum("pages").alias("pages"), F.sum("vector").alias("vector"), F.min("low").alias("low"), F.max("high").alias("high")),
+            F.sum("pages").alias("pages"), F.sum("vector").alias("vector"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("texts").alias("texts")),
         "html-tokens")
     # Members of a class have equal pages and vector. They hang together if each lies on the
     # path of its longest or shares its root.
@@ -199,7 +192,7 @@ def templates(pages: DataFrame) -> DataFrame:
     valid = tokens.join(classes, ["host", "vector", "pages"])
     return valid.groupBy("host").agg(
         F.collect_set("token").alias("tokens"),
-        F.collect_set(F.when(F.col("low") == F.col("high"), F.col("token"))).alias("same"),
+        F.collect_set(F.when((F.col("low") == F.col("high")) & (F.col("texts") > 0), F.col("token"))).alias("same"),
         F.max(F.col("low") != F.col("high")).alias("differs"),
     ).select("host", "tokens", F.when(F.col("differs"), F.col("same")).otherwise(F.array()).alias("constant"))
 
@@ -226,7 +219,7 @@ def extract(source: str, template: set[str] | None, constant: set[str]) -> str:
             own = labels.get(token)
             if own is None:
                 own = labels[token] = label(names)
-                if own == "other" and slot_of(path, template) in constant:
+                if own == "other" and token in constant:
                     own = labels[token] = "boilerplate"
             if own == "boilerplate":
                 continue
