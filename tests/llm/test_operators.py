@@ -213,3 +213,17 @@ def test_main_text_keeps_paragraphs_whose_count_varies(spark):
     pages = [(i, f"http://v.example/{i}", frame.format(n=i, p="".join(f"<p>Text {i}.{j}</p>" for j in range(i + 1)))) for i in range(5)]
     out = {r["page_id"]: r["text"] for r in htmltext.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert out == {i: "\n".join([f"Title {i}", *[f"Text {i}.{j}" for j in range(i + 1)]]) for i in range(5)}
+
+
+def test_main_text_below_wrappers(spark):
+    body = "<nav>Home</nav>{a}<article><h1>Title {n}</h1><p>Some text {n}</p></article>{b}<div class='site-footer'>Imprint {n}</div>"
+    wrappers = ["<form>", "<div class='has-sidebar'>", "<div id='no-sidebar'>", "<div class='header-fixed'>", "<div class='social-layout'>", "<div class='page-widget'>"]
+    pages = [(i, f"http://w{i}.example/", w + body.format(n=i, a="", b="") + f"</{w[1:4]}" + ">" * (i > 0)) for i, w in enumerate(wrappers)]
+    plain = "<form><div class='has-sidebar'><p>Plain text {n}, rather long</p><div class='site-footer'>Imprint {n}</div></div></form>"
+    pages += [(10 + i, "http://plain.example/", plain.format(n=i)) for i in range(4)]
+    teasers = "<div class='article-list'>More {n}</div><div class='z'><p>The long text of page {n}</p></div><div class='related-posts'><article>Other {n}</article></div>"
+    pages += [(20 + i, "http://teasers.example/", teasers.format(n=i)) for i in range(4)]
+    out = {r["page_id"]: r["text"] for r in htmltext.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == f"Title {i}\nSome text {i}" for i in range(len(wrappers)))
+    assert all(out[10 + i] == f"Plain text {i}, rather long" for i in range(4))
+    assert all(f"The long text of page {i}" in out[20 + i] and "Other" not in out[20 + i] for i in range(4))

@@ -35,7 +35,7 @@ BLOCK = frozenset(
 # A start tag that ends an open one.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = BLOCK - {"option", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dt", "dd", "html", "body"}
-BOILERPLATE = frozenset("head nav footer aside form button select menu dialog label".split()) | RAW
+BOILERPLATE = frozenset("head nav footer aside button select menu dialog label".split()) | RAW
 MAIN = frozenset(("article", "main"))
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion sidebar side "
@@ -44,6 +44,8 @@ BOILERPLATE_NAMES = frozenset(
     "navbar navigation footer header masthead topbar copyright widget widgets login signup search form complementary "
     "contentinfo dialog toolbar skip".split())
 MAIN_NAMES = frozenset("article main".split())
+# Boxes of this kind hold articles of their own.
+TEASERS = frozenset("ad ads advert advertisement promo sponsor sponsored related recommended comment comments respond reply replies disqus".split())
 
 
 def names_in(attributes: str) -> list[str]:
@@ -113,27 +115,81 @@ def walk(source: str) -> Iterator[tuple[str, list[str], list[list[str]], str]]:
             tags.pop(), path.pop(), names.pop()
 
 
-def label(names: list[list[str]]) -> str:
+def scan(source: str) -> tuple[list[tuple[str, str, str]], dict[str, tuple[str, list[str]]], set[str]]:
+    """Events of a page as (kind, token, text); parent and names by token, parents first; the
+    tokens that hold an article or main element that is no teaser."""
+    events: list[tuple[str, str, str]] = []
+    elements: dict[str, tuple[str, list[str]]] = {}
+    holds: set[str] = set()
+    for kind, path, names, text in walk(source):
+        token = path[-1] if path else ""
+        if kind == "open":
+            own = names[-1]
+            if token not in elements:
+                elements[token] = (path[-2] if len(path) > 1 else "", own)
+            if (own[0] in MAIN or not MAIN_NAMES.isdisjoint(own[1:])) and not teaser(own):
+                holds.update(path[:-1])
+        events.append((kind, token, text))
+    return events, elements, holds
+
+
+def parts_of(own: list[str]) -> set[str]:
+    return {w for n in own[1:] for w in re.split(r"[-_]+", n)}
+
+
+def teaser(own: list[str]) -> bool:
+    return any(re.split(r"[-_]+", n)[0] in TEASERS for n in own[1:])
+
+
+def weighed(own: list[str]) -> bool:
+    """Whether the label of an element depends on its share of the text."""
+    return own[0] == "form" or not parts_of(own).union(own[1:]).isdisjoint(BOILERPLATE_NAMES | MAIN_NAMES) or teaser(own)
+
+
+def masses(events: list[tuple[str, str, str]], elements: dict[str, tuple[str, list[str]]]) -> dict[str, int]:
+    """Characters within each token, without links and boilerplate elements; of the page under ''."""
+    found = dict.fromkeys(["", *elements], 0)
+    for kind, token, text in events:
+        if kind == "text":
+            found[token] += len("".join(text.split()))
+    for token, (parent, own) in reversed(elements.items()):
+        if own[0] == "a" or own[0] in BOILERPLATE:
+            found[token] = 0
+        found[parent] += found[token]
+    return found
+
+
+def label(own: list[str], above: str, holds: bool, half: bool) -> str:
     """'main' within an article, 'boilerplate' within an element or class of that kind, else
-    'other'. A header within an article is part of it; other boilerplate there is not."""
-    inside = False
-    for own in names:
-        tag = own[0]
-        words = {w for n in own[1:] for w in [n, *re.split(r"[-_]+", n)]}
-        if tag in MAIN or words & MAIN_NAMES:
-            if tag in BOILERPLATE:
-                return "boilerplate"
-            if words & BOILERPLATE_NAMES and tag not in MAIN:
-                return "boilerplate"
-            if words & {"comment", "comments", "reply", "related", "sponsored", "ad", "promo"}:
-                return "boilerplate"
-            inside = True
-            continue
-        if tag in BOILERPLATE or (tag == "header" and not inside):
-            return "boilerplate"
-        if tag not in ("html", "body") and words & (BOILERPLATE_NAMES - ({"header"} if inside else set())):
-            return "boilerplate"
-    return "main" if inside else "other"
+    what is around it. ``holds``: an article is below; ``half``: at least half of the text is.
+
+    A form, or a name of which only a part is of that kind, may be a wrapper: it is
+    boilerplate unless it holds an article or half of the text. With a whole name, or the
+    name of a teaser box, it takes both. A header within an article is part of it."""
+    tag, whole, parts = own[0], set(own[1:]), parts_of(own)
+    if above == "boilerplate" or tag in BOILERPLATE:
+        return "boilerplate"
+    if tag in MAIN or whole & MAIN_NAMES or (half and parts & MAIN_NAMES):
+        hidden = teaser(own) or (tag not in MAIN and whole & BOILERPLATE_NAMES)
+        return "boilerplate" if hidden and not half else "main"
+    if tag == "header" and above != "main":
+        return "boilerplate"
+    names = BOILERPLATE_NAMES - ({"header"} if above == "main" else set())
+    if tag in ("html", "body") or not (tag == "form" or (whole | parts) & names):
+        return above
+    wrapper = holds and half if whole & names or teaser(own) else holds or half
+    return above if wrapper else "boilerplate"
+
+
+def labels_of(elements: dict[str, tuple[str, list[str]]], holds: set[str], wrappers: set[str]) -> dict[str, str]:
+    found = {"": "other"}
+    for token, (parent, own) in elements.items():
+        found[token] = label(own, found[parent], token in holds, token in wrappers)
+    return found
+
+
+def halves(mass: dict[str, int]) -> set[str]:
+    return {t for t, n in mass.items() if t and n and 2 * n >= mass[""]}
 
 
 def host_of(url: str | None) -> str:
@@ -143,7 +199,8 @@ def host_of(url: str | None) -> str:
 
 def _occurrences(pages: DataFrame) -> DataFrame:
     """Per host and token, merged over the pages of a batch: pages, sum of hashes of (page,
-    count), least and greatest hash of the text directly in it, pages with such text."""
+    count), least and greatest hash of the text directly in it, pages with such text; if its label
+    depends on that, the text within it and the text of those pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -153,57 +210,67 @@ def _occurrences(pages: DataFrame) -> DataFrame:
             for page, url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 counts: dict[str, int] = {}
                 texts: dict[str, list[str]] = {}
-                for kind, path, _, text in walk(source.as_py() or ""):
+                events, elements, _ = scan(source.as_py() or "")
+                for kind, token, text in events:
                     if kind == "open":
-                        counts[path[-1]] = counts.get(path[-1], 0) + 1
-                    elif kind == "text" and path:
-                        texts.setdefault(path[-1], []).append(text)
+                        counts[token] = counts.get(token, 0) + 1
+                    elif kind == "text" and token:
+                        texts.setdefault(token, []).append(text)
+                mass = masses(events, elements)
                 host = host_of(url)
                 for token, n in counts.items():
                     vector = xxhash.xxh3_64_intdigest(f"{page} {n}") >> 24  # 40 bits, so sums stay exact
                     direct = " ".join(" ".join(texts.get(token, ())).split())
                     text = xxhash.xxh3_64_intdigest(direct) >> 1
+                    inside, whole = (mass[token], mass[""]) if weighed(elements[token][1]) else (0, 0)
                     own = found.get((host, token))
                     if own is None:
-                        found[host, token] = [1, vector, text, text, int(bool(direct))]
+                        found[host, token] = [1, vector, text, text, int(bool(direct)), inside, whole]
                     else:
                         own[0] += 1
                         own[1] += vector
                         own[2], own[3] = min(own[2], text), max(own[3], text)
                         own[4] += bool(direct)
+                        own[5] += inside
+                        own[6] += whole
             hosts, tokens = [k[0] for k in found], [k[1] for k in found]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tokens, pa.string()), *[pa.array([v[i] for v in found.values()], pa.int64()) for i in range(5)]],
-                                             names=["host", "token", "pages", "vector", "low", "high", "texts"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tokens, pa.string()), *[pa.array([v[i] for v in found.values()], pa.int64()) for i in range(7)]],
+                                             names=["host", "token", "pages", "vector", "low", "high", "texts", "inside", "whole"])
 
-    return map_arrow(pages, run, "host string, token string, pages long, vector long, low long, high long, texts long")
+    return map_arrow(pages, run, "host string, token string, pages long, vector long, low long, high long, texts long, inside long, whole long")
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """Per host: ``tokens`` of its template and ``constant``, those of them with text of their
-    own that is the same on all pages while that of others differs."""
+    own that is the same on all pages while that of others differs; ``wrappers``, the tokens whose label
+    depends on it and that hold at least half of the text of their pages."""
     tokens = written(
         _occurrences(pages).groupBy("host", "token").agg(
-            F.sum("pages").alias("pages"), F.sum("vector").alias("vector"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("texts").alias("texts")),
+            F.sum("pages").alias("pages"), F.sum("vector").alias("vector"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("texts").alias("texts"),
+            F.sum("inside").alias("inside"), F.sum("whole").alias("whole")),
         "html-tokens")
     # Members of a class have equal pages and vector. They hang together if each lies on the
     # path of its longest or shares its root.
     classes = tokens.groupBy("host", "vector", "pages").agg(F.count(F.lit(1)).alias("size")).where(
         (F.col("pages") >= MIN_PAGES) & (F.col("size") >= MIN_TOKENS)).select("host", "vector", "pages")
     valid = tokens.join(classes, ["host", "vector", "pages"])
-    return valid.groupBy("host").agg(
+    wrappers = tokens.where("inside > 0 and 2 * inside >= whole").groupBy("host").agg(F.collect_set("token").alias("wrappers"))
+    deduced = valid.groupBy("host").agg(
         F.collect_set("token").alias("tokens"),
         F.collect_set(F.when((F.col("low") == F.col("high")) & (F.col("texts") > 0), F.col("token"))).alias("same"),
         F.max(F.col("low") != F.col("high")).alias("differs"),
     ).select("host", "tokens", F.when(F.col("differs"), F.col("same")).otherwise(F.array()).alias("constant"))
+    return tokens.select("host").distinct().join(deduced, "host", "left").join(wrappers, "host", "left")
 
 
-def extract(source: str, template: set[str] | None, constant: set[str]) -> str:
+def extract(source: str, template: set[str] | None, constant: set[str], wrappers: set[str] | None = None) -> str:
     """Blocks of the main text, joined by line feeds. If there is an article, its text; else
-    all text that is not boilerplate."""
+    all text that is not boilerplate. Without ``wrappers`` the page's own text tells them."""
     blocks: dict[str, list[str]] = {"main": [], "other": []}
     parts: list[str] = []
     kind_of_parts = "other"
-    labels: dict[tuple[str, ...] | str, str] = {}
+    events, elements, holds = scan(source)
+    labels = labels_of(elements, holds, halves(masses(events, elements)) if wrappers is None else wrappers)
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
@@ -211,17 +278,12 @@ def extract(source: str, template: set[str] | None, constant: set[str]) -> str:
             blocks[kind_of_parts].append(text)
         parts.clear()
 
-    for kind, path, names, text in walk(source):
+    for kind, token, text in events:
         if kind == "break":
             flush()
         elif kind == "text":
-            token = path[-1] if path else ""
-            own = labels.get(token)
-            if own is None:
-                own = labels[token] = label(names)
-                if own == "other" and token in constant:
-                    own = labels[token] = "boilerplate"
-            if own == "boilerplate":
+            own = labels[token]
+            if own == "boilerplate" or (own == "other" and token in constant):
                 continue
             if own != kind_of_parts:
                 flush()
@@ -241,20 +303,16 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
     chosen = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     known = written(templates(chosen), "html-templates")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    joined = chosen.withColumn("host", host).join(known, "host", "left").select("page_id", "url", "html", "tokens", "constant")
+    joined = chosen.withColumn("host", host).join(known, "host", "left").select("page_id", "url", "html", "tokens", "constant", "wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None, set())
+        last: tuple = (None, None, set(), set())
         for batch in batches:
             texts = []
-            for source, tokens, constant in zip(batch.column(2), batch.column(3), batch.column(4)):
-                if tokens.is_valid:
-                    if not (last[0] is not None and last[0] == tokens):
-                        last = (tokens, set(tokens.as_py()), set(constant.as_py() or ()))
-                    template, same = last[1], last[2]
-                else:
-                    template, same = None, set()
-                texts.append(extract(source.as_py() or "", template, same))
+            for source, *known in zip(*batch.columns[2:6]):
+                if known != last[0]:
+                    last = (known, *(set(x.as_py() or ()) for x in known))
+                texts.append(extract(source.as_py() or "", *last[1:]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])
 
