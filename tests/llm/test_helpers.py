@@ -9,7 +9,7 @@ import pytest
 
 from tidemark.llm.bytewords import shingles_of, text_slices, words_of
 from tidemark.llm.eliasfano import EliasFano
-from tidemark.llm.htmltext import extract
+from tidemark.llm.htmltext import classes_of, extract, nesting, template_of
 from tidemark.llm.lm import PairTrie
 from tidemark.llm.pii import fit_label_model
 from tidemark.llm.suffixes import suffix_array
@@ -97,3 +97,23 @@ def test_extract():
     <aside>Side</aside><footer>&copy;</footer></body></html>"""
     assert extract(page, None, set()) == "A & B\nOne two three\nFour"
     assert extract("", None, set()) == "" and extract("plain <i>text", None, set()) == "plain text"
+
+
+def test_template_takes_ordered_nested_classes():
+    def deduced(pages):
+        counts = {t: tuple(p.count(t) for p in pages) for p in pages for t in p}
+        rows = [{"token": t, "vector": hash(v), "pages": sum(map(bool, v))} for t, v in counts.items()]
+        classes, sizes = classes_of(rows)
+        seen = {}
+        for page in pages:
+            for k, (n, low, high) in nesting(page, classes, sizes).items():
+                old = seen.get(k, (0, low, high))
+                seen[k] = (old[0] + n, min(old[1], low), max(old[2], high))
+        return template_of(rows, [{"outer": k[0], "inner": k[1], "times": v[0], "low": v[1], "high": v[2]} for k, v in seen.items()])
+
+    frame, item = ["/h", "/h/a", "/h/b"], ["/h/a/i", "/h/a/i/x", "/h/a/i/y"]
+    pages = [[*frame[:2], *item * n, frame[2]] for n in (1, 3, 2)]
+    assert deduced(pages) == sorted(frame + item)
+    assert deduced([*pages, [*frame[:2], *item * 4, "/h/a/i/y", "/h/a/i", "/h/a/i/x", frame[2]]]) == frame  # out of order
+    assert deduced([*pages, [*frame, *item * 4]]) == frame  # in another gap
+    assert deduced([*pages, [*frame[:2], *item * 4, *item[:1], frame[2], *item[1:]]]) == frame  # across

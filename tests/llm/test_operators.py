@@ -227,3 +227,13 @@ def test_main_text_below_wrappers(spark):
     assert all(out[i] == f"Title {i}\nSome text {i}" for i in range(len(wrappers)))
     assert all(out[10 + i] == f"Plain text {i}, rather long" for i in range(4))
     assert all(f"The long text of page {i}" in out[20 + i] and "Other" not in out[20 + i] for i in range(4))
+
+
+def test_main_text_leaves_link_slots_and_weighs_articles(spark):
+    links = "<html><body><div class='k'>{a}</div><div class='c'><h1>Title {n}</h1><p>Some text {n}</p></div></body></html>"
+    pages = [(i, "http://links.example/", links.format(n=i, a="".join(f"<a>Story {i}{j}</a>" for j in range(3)))) for i in range(4)]
+    teasers = "<html><body><div class='article'>More {n}</div><div class='c'><h1>Title {n}</h1><p>The long text of page {n}</p></div></body></html>"
+    pages += [(10 + i, "http://teasers.example/", teasers.format(n=i)) for i in range(4)]
+    out = {r["page_id"]: r["text"] for r in htmltext.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == f"Title {i}\nSome text {i}" for i in range(4))
+    assert all(out[10 + i] == f"More {i}\nTitle {i}\nThe long text of page {i}" for i in range(4))

@@ -1,11 +1,16 @@
 """Main text of web pages by template deduction from equivalence classes of tags.
 
 A tag occurs with its path, classes and id; that is a token. Tokens whose counts over the
-pages of a host are the same vector form an equivalence class. A class that is large and
-frequent enough, and whose tokens hang together on one path (so that its occurrences nest),
-belongs to the template; text lies in the slots between template tags. Slots in boilerplate
-elements, and slots outside an article whose text is the same on all pages of the host while
-other text differs, are left out; the rest is the main text.
+pages of a host are the same vector, and that lie below one of them, form an equivalence
+class, if it is large and frequent enough. It is valid if on all pages its tokens come in
+one order, over and over, and belongs to the template if its occurrences nest with those of
+the classes taken before it (more pages, then more tokens): none cross, and all lie in the
+same gap of the other or all outside it. Text lies in the slots between template tags.
+
+Outside articles the template decides: slots whose text is the same on all pages while other
+text differs, or that are mostly links, are left out. If the host has no more text in
+articles than in its other slots, both are main text; else the articles are. What is in
+boilerplate elements or has boilerplate names is left out, whatever the template says.
 
 A vector is kept as the sum of a hash of (page, count): it merges, and two tokens with
 different vectors have the same sum only by chance. So a host with a third of all pages is a
@@ -52,7 +57,7 @@ def names_in(attributes: str) -> list[str]:
     """Words of class, id and role, lower-cased, digits as #."""
     found = []
     for _, a, b, c in ATTRIBUTE.findall(attributes):
-        found += re.sub(r"[0-9]+", "#", (a or b or c).lower()).split()
+        found += re.sub(r"[0-9]+", "#", (a or b or c).lower()).replace("/", "|").split()
     return found
 
 
@@ -199,8 +204,7 @@ def host_of(url: str | None) -> str:
 
 def _occurrences(pages: DataFrame) -> DataFrame:
     """Per host and token, merged over the pages of a batch: pages, sum of hashes of (page,
-    count), least and greatest hash of the text directly in it, pages with such text; if its label
-    depends on that, the text within it and the text of those pages."""
+    count); if its label depends on that, the text within it and the text of those pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -209,64 +213,237 @@ def _occurrences(pages: DataFrame) -> DataFrame:
             found: dict[tuple[str, str], list[int]] = {}
             for page, url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 counts: dict[str, int] = {}
-                texts: dict[str, list[str]] = {}
                 events, elements, _ = scan(source.as_py() or "")
-                for kind, token, text in events:
+                for kind, token, _ in events:
                     if kind == "open":
                         counts[token] = counts.get(token, 0) + 1
-                    elif kind == "text" and token:
-                        texts.setdefault(token, []).append(text)
                 mass = masses(events, elements)
                 host = host_of(url)
                 for token, n in counts.items():
                     vector = xxhash.xxh3_64_intdigest(f"{page} {n}") >> 24  # 40 bits, so sums stay exact
-                    direct = " ".join(" ".join(texts.get(token, ())).split())
-                    text = xxhash.xxh3_64_intdigest(direct) >> 1
                     inside, whole = (mass[token], mass[""]) if weighed(elements[token][1]) else (0, 0)
                     own = found.get((host, token))
                     if own is None:
-                        found[host, token] = [1, vector, text, text, int(bool(direct)), inside, whole]
+                        found[host, token] = [1, vector, inside, whole]
                     else:
                         own[0] += 1
                         own[1] += vector
-                        own[2], own[3] = min(own[2], text), max(own[3], text)
-                        own[4] += bool(direct)
-                        own[5] += inside
-                        own[6] += whole
-            hosts, tokens = [k[0] for k in found], [k[1] for k in found]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tokens, pa.string()), *[pa.array([v[i] for v in found.values()], pa.int64()) for i in range(7)]],
-                                             names=["host", "token", "pages", "vector", "low", "high", "texts", "inside", "whole"])
+                        own[2] += inside
+                        own[3] += whole
+            yield merged(found, OCCURRENCES)
+
+    return map_arrow(pages, run, OCCURRENCES)
+
+
+def merged(found: dict[tuple, list[int]], schema: str) -> pa.RecordBatch:
+    """Keys and values as columns of a schema string."""
+    types = {"string": pa.string(), "long": pa.int64()}
+    names = [x.split() for x in schema.split(", ")]
+    rows = list(zip(*((*k, *v) for k, v in found.items()))) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(rows, names)], names=[n for n, _ in names])
+
+
+def classes_of(rows: list[dict]) -> tuple[dict[str, int], list[tuple[int, int]]]:
+    """Class by token; (pages, tokens) by class. ``rows``: token, vector, pages. Of tokens with
+    one vector, those below the same outermost one are a class."""
+    groups: dict[tuple, list[str]] = {}
+    roots: set[tuple] = set()
+    for pages, vector, token in sorted((r["pages"], r["vector"], r["token"]) for r in rows):
+        cuts = [i for i, c in enumerate(token) if c == "/" and i] + [len(token)]
+        root = next((token[:i] for i in cuts if (pages, vector, token[:i]) in roots), token)
+        roots.add((pages, vector, root))
+        groups.setdefault((pages, vector, root), []).append(token)
+    large = sorted((k for k, v in groups.items() if len(v) >= MIN_TOKENS), key=lambda k: (-k[0], -len(groups[k]), k[2], k[1]))
+    return {t: i for i, k in enumerate(large) for t in groups[k]}, [(k[0], len(groups[k])) for k in large]
+
+
+def nesting(opened: list[str], classes: dict[str, int], sizes: list[tuple[int, int]]) -> dict[tuple[int, int], list[int]]:
+    """Of a page, by (class, class): its occurrences, least and greatest hash of its order; by
+    (outer, inner): how often the inner starts within the outer, least and greatest gap. The
+    greatest is above the least where tokens are out of order or occurrences cross."""
+    import xxhash
+
+    order: dict[int, list[str]] = {}
+    count: dict[int, int] = {}
+    broken: set[int] = set()
+    stack: list[int] = []
+    found: dict[tuple[int, int], list[int]] = {}
+    for token in opened:
+        own = classes.get(token)
+        if own is None:
+            continue
+        size, i = sizes[own][1], count.get(own, 0)
+        cycle = order.setdefault(own, [])
+        if i < size:
+            if token in cycle:
+                broken.add(own)
+            cycle.append(token)
+        elif cycle[i % size] != token:
+            broken.add(own)
+        if i % size == 0 or own not in stack:
+            for outer in stack:
+                gap = count[outer] % sizes[outer][1]
+                pair = found.setdefault((outer, own), [0, gap, gap])
+                pair[0] += 1
+                pair[1], pair[2] = min(pair[1], gap), max(pair[2], gap)
+            stack.append(own)
+        while stack[-1] != own:
+            found[own, stack[-1]] = [1, -1, sizes[own][1]]
+            stack.pop()
+        count[own] = i + 1
+        if i % size == size - 1:
+            stack.pop()
+    for own, cycle in order.items():
+        size = sizes[own][1]
+        value = xxhash.xxh3_64_intdigest("\n".join(cycle)) >> 1
+        bad = own in broken or count[own] % size > 0
+        found[own, own] = [count[own] // size, -1 if bad else value, value]
+    return found
+
+
+def template_of(rows: list[dict], pairs: list[dict]) -> list[str]:
+    """Tokens of the valid classes that nest. ``pairs``: outer, inner, times, low, high."""
+    classes, sizes = classes_of(rows)
+    seen = {(r["outer"], r["inner"]): r for r in pairs}
+    taken: list[int] = []
+    for own in range(len(sizes)):
+        r = seen.get((own, own))
+        if r is None or r["low"] != r["high"]:
+            continue
+        both = [(seen.get(k), seen[k[1], k[1]]["times"]) for other in taken for k in ((own, other), (other, own))]
+        if all(r is None or (r["low"] == r["high"] and r["times"] == times) for r, times in both):
+            taken.append(own)
+    kept = set(taken)
+    return sorted(t for t, own in classes.items() if own in kept)
+
+
+def slots_of(events: list[tuple[str, str, str]], elements: dict[str, tuple[str, list[str]]], template: set[str]) -> list[str]:
+    """By event the slot of a text: its own tag, and the template tag that came last before it
+    within the innermost template tag around it."""
+    around: dict[str, str] = {"": ""}
+    for token, (parent, _) in elements.items():
+        around[token] = token if token in template else around[parent]
+    last: dict[str, str] = {}
+    found = []
+    for kind, token, _ in events:
+        if kind == "open" and token in template:
+            last[around[elements[token][0]]] = token
+            last.pop(token, None)
+        found.append(f"{token} {last.get(around[token], '')}" if kind == "text" else "")
+    return found
+
+
+OCCURRENCES = "host string, token string, pages long, vector long, inside long, whole long"
+NESTING = "host string, outer long, inner long, times long, low long, high long"
+SLOTS = "host string, label string, slot string, pages long, low long, high long, chars long, links long"
+
+
+def _with_known(pages: DataFrame, known: DataFrame) -> DataFrame:
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    return pages.withColumn("host", host).join(known, "host", "left")
+
+
+def _nestings(pages: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Per host what ``nesting`` gives, merged over the pages of a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple = (None, {}, [])
+        for batch in batches:
+            found: dict[tuple, list[int]] = {}
+            for host, source, rows in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if host != last[0]:
+                    last = (host, *classes_of(rows.as_py()))
+                opened = [token for kind, token, _ in scan(source.as_py() or "")[0] if kind == "open"]
+                for key, (times, low, high) in nesting(opened, last[1], last[2]).items():
+                    own = found.setdefault((host, *key), [0, low, high])
+                    own[0] += times
+                    own[1], own[2] = min(own[1], low), max(own[2], high)
+            yield merged(found, NESTING)
+
+    return map_arrow(_with_known(pages, candidates).where("rows is not null").select("host", "html", "rows"), run, NESTING)
 
-    return map_arrow(pages, run, "host string, token string, pages long, vector long, low long, high long, texts long, inside long, whole long")
+
+def _slots(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """Per host, label and slot that is no boilerplate, merged over the pages of a batch:
+    pages with text there, least and greatest hash of it, its characters and those in links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        last: tuple = (None, set(), set())
+        for batch in batches:
+            found: dict[tuple, list[int]] = {}
+            for host, source, *rest in zip(batch.column(0).to_pylist(), *batch.columns[1:4]):
+                if host != last[0]:
+                    last = (host, *(set(x.as_py() or ()) for x in rest))
+                events, elements, holds = scan(source.as_py() or "")
+                labels = labels_of(elements, holds, last[2])
+                linked = {"": False}
+                for token, (parent, own) in elements.items():
+                    linked[token] = own[0] == "a" or linked[parent]
+                texts: dict[tuple, list[str]] = {}
+                links: dict[tuple, int] = {}
+                for (kind, token, text), slot in zip(events, slots_of(events, elements, last[1])):
+                    if kind == "text" and labels[token] != "boilerplate" and text.strip():
+                        key = (host, labels[token], slot)
+                        texts.setdefault(key, []).append(text)
+                        links[key] = links.get(key, 0) + linked[token] * len("".join(text.split()))
+                for key, parts in texts.items():
+                    words = " ".join(parts).split()
+                    value = xxhash.xxh3_64_intdigest(" ".join(words)) >> 1
+                    own = found.setdefault(key, [0, value, value, 0, 0])
+                    own[0] += 1
+                    own[1], own[2] = min(own[1], value), max(own[2], value)
+                    own[3] += sum(map(len, words))
+                    own[4] += links[key]
+            yield merged(found, SLOTS)
+
+    return map_arrow(_with_known(pages, known).select("host", "html", "tokens", "wrappers"), run, SLOTS)
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host: ``tokens`` of its template and ``constant``, those of them with text of their
-    own that is the same on all pages while that of others differs; ``wrappers``, the tokens whose label
-    depends on it and that hold at least half of the text of their pages."""
+    """Per host: ``tokens`` of its template; ``dropped``, slots outside articles that are mostly
+    links or whose text is the same on all pages while that of others differs; ``wrappers``,
+    the tokens whose label depends on it and that hold at least half of the text of their
+    pages; ``articles``, whether articles hold more text than the slots outside."""
     tokens = written(
-        _occurrences(pages).groupBy("host", "token").agg(
-            F.sum("pages").alias("pages"), F.sum("vector").alias("vector"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("texts").alias("texts"),
-            F.sum("inside").alias("inside"), F.sum("whole").alias("whole")),
+        _occurrences(pages).groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "vector", "inside", "whole")]),
         "html-tokens")
-    # Members of a class have equal pages and vector. They hang together if each lies on the
-    # path of its longest or shares its root.
     classes = tokens.groupBy("host", "vector", "pages").agg(F.count(F.lit(1)).alias("size")).where(
         (F.col("pages") >= MIN_PAGES) & (F.col("size") >= MIN_TOKENS)).select("host", "vector", "pages")
-    valid = tokens.join(classes, ["host", "vector", "pages"])
+    candidates = written(tokens.join(classes, ["host", "vector", "pages"]).groupBy("host").agg(
+        F.collect_list(F.struct("token", "vector", "pages")).alias("rows")), "html-candidates")
+    pairs = _nestings(pages, candidates).groupBy("host", "outer", "inner").agg(
+        F.sum("times").alias("times"), F.min("low").alias("low"), F.max("high").alias("high"))
+    nested = candidates.join(pairs.groupBy("host").agg(F.collect_list(F.struct("outer", "inner", "times", "low", "high")).alias("pairs")), "host")
+
+    def deduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [template_of(rows.as_py(), found.as_py()) for rows, found in zip(batch.column(1), batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["host", "tokens"])
+
+    deduced = map_arrow(nested.select("host", "rows", "pairs"), deduce, "host string, tokens array<string>")
     wrappers = tokens.where("inside > 0 and 2 * inside >= whole").groupBy("host").agg(F.collect_set("token").alias("wrappers"))
-    deduced = valid.groupBy("host").agg(
-        F.collect_set("token").alias("tokens"),
-        F.collect_set(F.when((F.col("low") == F.col("high")) & (F.col("texts") > 0), F.col("token"))).alias("same"),
-        F.max(F.col("low") != F.col("high")).alias("differs"),
-    ).select("host", "tokens", F.when(F.col("differs"), F.col("same")).otherwise(F.array()).alias("constant"))
-    return tokens.select("host").distinct().join(deduced, "host", "left").join(wrappers, "host", "left")
-
-
-def extract(source: str, template: set[str] | None, constant: set[str], wrappers: set[str] | None = None) -> str:
-    """Blocks of the main text, joined by line feeds. If there is an article, its text; else
-    all text that is not boilerplate. Without ``wrappers`` the page's own text tells them."""
-    blocks: dict[str, list[str]] = {"main": [], "other": []}
+    sizes = tokens.groupBy("host").agg(F.max("pages").alias("seen"))
+    known = written(sizes.join(deduced, "host", "left").join(wrappers, "host", "left"), "html-deduced")
+    slots = written(_slots(pages, known.drop("seen")).groupBy("host", "label", "slot").agg(
+        *[F.sum(c).alias(c) for c in ("pages", "chars", "links")], F.min("low").alias("low"), F.max("high").alias("high")), "html-slots")
+    differs = slots.groupBy("host").agg(F.max(F.col("low") != F.col("high")).alias("differs"))
+    other, linky = F.col("label") == "other", 2 * F.col("links") > F.col("chars")
+    same = F.col("differs") & (F.col("low") == F.col("high"))
+    dropped = other & (F.col("pages") >= MIN_PAGES) & F.col("differs") & (linky | same)
+    plain = F.col("chars") - F.col("links")
+    decided = slots.join(differs, "host").groupBy("host").agg(
+        F.collect_set(F.when(dropped, F.col("slot"))).alias("dropped"),
+        (F.sum(F.when(F.col("label") == "main", plain).otherwise(0)) > F.sum(F.when(other & ~dropped, plain).otherwise(0))).alias("articles"))
+    return known.drop("seen").join(decided, "host", "left")
+
+
+def extract(source: str, template: set[str] | None, dropped: set[str], wrappers: set[str] | None = None, articles: bool | None = None) -> str:
+    """Blocks of the main text, joined by line feeds: ``articles``, if there are any, or all
+    text that is not boilerplate. Without ``wrappers`` or ``articles`` the page's own text
+    tells them."""
+    blocks: list[tuple[str, str]] = []
     parts: list[str] = []
     kind_of_parts = "other"
     events, elements, holds = scan(source)
@@ -275,22 +452,25 @@ def extract(source: str, template: set[str] | None, constant: set[str], wrappers
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            blocks[kind_of_parts].append(text)
+            blocks.append((kind_of_parts, text))
         parts.clear()
 
-    for kind, token, text in events:
+    for (kind, token, text), slot in zip(events, slots_of(events, elements, template or set())):
         if kind == "break":
             flush()
         elif kind == "text":
             own = labels[token]
-            if own == "boilerplate" or (own == "other" and token in constant):
+            if own == "boilerplate" or (own == "other" and slot in dropped):
                 continue
             if own != kind_of_parts:
                 flush()
                 kind_of_parts = own
             parts.append(text)
     flush()
-    return "\n".join(blocks["main"] or blocks["other"])
+    if articles is None:
+        articles = sum(len(t) if k == "main" else -len(t) for k, t in blocks) > 0
+    chosen = [t for k, t in blocks if k == "main"] if articles else []
+    return "\n".join(chosen or [t for _, t in blocks])
 
 
 def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
@@ -302,16 +482,15 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
     """
     chosen = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     known = written(templates(chosen), "html-templates")
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    joined = chosen.withColumn("host", host).join(known, "host", "left").select("page_id", "url", "html", "tokens", "constant", "wrappers")
+    joined = _with_known(chosen, known).select("page_id", "url", "html", "tokens", "dropped", "wrappers", "articles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None, set(), set())
+        last: tuple = (None, set(), set(), set(), None)
         for batch in batches:
             texts = []
-            for source, *known in zip(*batch.columns[2:6]):
+            for source, *known in zip(*batch.columns[2:7]):
                 if known != last[0]:
-                    last = (known, *(set(x.as_py() or ()) for x in known))
+                    last = (known, *(set(x.as_py() or ()) for x in known[:3]), known[3].as_py())
                 texts.append(extract(source.as_py() or "", *last[1:]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])
