@@ -7,6 +7,8 @@ import random
 import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,3 +239,18 @@ def test_main_text_leaves_link_slots_and_weighs_articles(spark):
     out = {r["page_id"]: r["text"] for r in htmltext.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert all(out[i] == f"Title {i}\nSome text {i}" for i in range(4))
     assert all(out[10 + i] == f"More {i}\nTitle {i}\nThe long text of page {i}" for i in range(4))
+
+
+def test_decontamination_of_scattered_hits_takes_bounded_parts(monkeypatch):
+    from tidemark.llm.bytewords import shingles_of, text_slices, words_of
+
+    items = [" ".join(f"{c}{i}" for i in range(20)) for c in "ab"]
+    index = decontaminate.ItemIndex([1, 2], items)
+    text = " ".join([items[0], *(f"x{i}" for i in range(50_000)), items[1]])
+    _, data, offsets = next(iter(text_slices(pa.array([text]))))
+    hashes = shingles_of(words_of(data, offsets), 5).hash
+    taken, signs = [], decontaminate.signs
+    monkeypatch.setattr(decontaminate, "signs", lambda h: taken.append(len(h)) or signs(h))
+    hits = np.flatnonzero(np.isin(hashes, index.keys))
+    assert index.leaks_in(hashes, 5, hits) == {0: (1.0, 0, 20), 1: (1.0, 50_020, 20)}
+    assert max(taken) < 5_000 < len(hashes)

@@ -22,6 +22,7 @@ RADIUS = 19  # bits of 64; texts at similarity 0.8 differ in 10 bits, give or ta
 BLOCKS = 4  # of 16 bits: within RADIUS, some block differs in at most RADIUS // BLOCKS bits
 BLOCK_ITEMS, BLOCK_BYTES = 1024, 8 << 20
 FILTER_BITS = 22
+CHUNK = 4096  # window starts fingerprinted at once, 1 KB each
 LEAKS = "array<struct<item_id:long,similarity:double,first_word:int,n_words:int>>"
 POPCOUNT = np.array([bin(i).count("1") for i in range(1 << 16)], dtype=np.uint8)
 BIT = np.arange(64, dtype=U)
@@ -107,7 +108,8 @@ class ItemIndex:
             np.add.at(cover, np.clip(at - width + 1, 0, n - width), 1)
             np.add.at(cover, np.minimum(at, n - width) + 1, -1)
             starts = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
-            for part in np.split(starts, range(4096, len(starts), 4096)):
+            # A part spans as many shingles at most, and a window, however far apart its hits are.
+            for part in np.split(starts, np.flatnonzero(np.diff(starts // CHUNK)) + 1):
                 lo, hi = int(part[0]), int(part[-1]) + width
                 sums = np.zeros((hi - lo + 1, 64), dtype=np.int32)
                 np.cumsum(signs(hashes[lo:hi]), axis=0, out=sums[1:])
