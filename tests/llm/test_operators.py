@@ -254,3 +254,19 @@ def test_decontamination_of_scattered_hits_takes_bounded_parts(monkeypatch):
     hits = np.flatnonzero(np.isin(hashes, index.keys))
     assert index.leaks_in(hashes, 5, hits) == {0: (1.0, 0, 20), 1: (1.0, 50_020, 20)}
     assert max(taken) < 5_000 < len(hashes)
+
+
+def test_jaccard_compares_repeated_rows_once(spark, monkeypatch):
+    near = " ".join(f"w{i}" for i in range(60))
+    table = spark.createDataFrame([(1, near)] * 7 + [(None, near + " end")] * 5, "doc_id long, text string")
+    kept, written = [], jaccard.written
+
+    def counted(df, purpose):
+        out = written(df, purpose)
+        if purpose == "jaccard-sets":
+            kept.append((out.count(), out.select("sig").distinct().count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    found = jaccard.jaccard_classes(table, 3, 90).collect()
+    assert len(found) == 12 and {r["component_id"] for r in found} == {1} and max(kept) == (2, 2) and all(a == b for a, b in kept)

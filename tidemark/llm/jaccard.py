@@ -192,7 +192,8 @@ def _linked(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, perc
     keys = written(needed.join(classes, "sig").select("row_key", "sig"), "jaccard-needed")
     # A key has 16 bytes. Beyond the bound, the join shuffles the texts instead.
     side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    texts = keyed.select("row_key", "text").join(side, "row_key")
+    # Rows repeated with id and text have one key; the joins with the pairs would multiply them.
+    texts = keyed.select("row_key", "text").join(side, "row_key").dropDuplicates(["row_key"])
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
