@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, dedup, htmltext, jaccard, lm, mixing, pii, quality, sharding, tokencount
+from tidemark.llm import align, decontaminate, dedup, htmltext, jaccard, lm, mixing, oddsketch, pii, quality, sharding, tokencount, whitening
 from tidemark.llm.store import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,10 +57,23 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align.align(read_table(spark, sf_dir, "documents"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.near_classes(read_table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_main_text, op2_token_counts, op3_decontamination, op4_personal_data, op5_lm_score, op6_sharding, op7_suffix_dedup,
         op8_quality_rules,
-        op9_source_mix, op10_ngram_jaccard,
+        op9_source_mix, op10_ngram_jaccard, op11_token_alignment, op12_odd_sketches, op13_whitening,
     )
 }

@@ -36,6 +36,27 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one run, each dropped once what reads it has been written itself,
+    so that the shared folder does not hold them all at once."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+
+    def write(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/{purpose}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(back)] = path
+        return back
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table)))
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _shipped: set[str] = set()
 
 
