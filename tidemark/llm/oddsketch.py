@@ -27,13 +27,14 @@ from tidemark.llm.bytewords import STEP, U, mix
 from tidemark.llm.jaccard import components, sets_of
 from tidemark.llm.store import Scratch, map_arrow
 
-SAMPLES = 255
-WORDS = 8  # of 64 bits, per sketch
+SAMPLES = 2040
+BANDED = 255  # of them, those that make up bands
+WORDS = 64  # of 64 bits, per sketch
 SKETCH = [f"odd_{i}" for i in range(WORDS)]
 MISS = 1e-8  # of a link right at the threshold, by its bands
 DEVIATIONS = 6  # of the bits in which linked sketches differ
 BROADCAST_KEYS = 1_000_000
-ELEMENTS = 1 << 18  # hashed at once
+ELEMENTS = 1 << 16  # hashed at once
 
 
 class Plan(NamedTuple):
@@ -44,18 +45,20 @@ class Plan(NamedTuple):
     reach: int
 
 
-def plan(percent: int, samples: int = SAMPLES) -> Plan:
-    """The widest bands that miss a link at the threshold no more often than ``MISS``."""
+def plan(percent: int, samples: int = SAMPLES, banded: int = BANDED) -> Plan:
+    """The widest bands that miss a link at the threshold no more often than ``MISS``, and the
+    reach of sketches that are linked."""
     alike = percent / 100
-    fits = [r for r in range(1, samples + 1) if (1 - alike**r) ** (samples // r) <= MISS]
+    fits = [r for r in range(1, banded + 1) if (1 - alike**r) ** (banded // r) <= MISS]
     rows = max(fits, default=1)
     bits = 64 * WORDS
-    # Each differing sample flips a bit of either sketch; a bit of the XOR is set with p.
+    # Each differing sample flips a bit of either sketch. One bit of the XOR stays as it was
+    # in ``one``, two of them differ from that together in ``two``.
     flips = 2 * samples * (1 - alike)
-    still = math.exp(-2 * flips / bits)
-    p = (1 - still) / 2
-    spread = bits * p * (1 - p) + still**2 * 4 * samples * alike * (1 - alike)
-    return Plan(rows, samples // rows, min(bits, math.ceil(bits * p + DEVIATIONS * math.sqrt(spread))))
+    one, two = (1 - 2 / bits) ** flips, (1 - 4 / bits) ** flips
+    of_places = (bits + bits * (bits - 1) * two - (bits * one) ** 2) / 4
+    of_samples = one**2 * 4 * samples * alike * (1 - alike)
+    return Plan(rows, banded // rows, min(bits, math.ceil(bits * (1 - one) / 2 + DEVIATIONS * math.sqrt(of_places + of_samples))))
 
 
 def multipliers(samples: int) -> np.ndarray:
@@ -66,8 +69,9 @@ def min_hashes(values: np.ndarray, starts: np.ndarray, samples: int) -> np.ndarr
     """(samples x sets) least values of the sets that begin at ``starts`` under as many
     orders."""
     out = np.empty((samples, len(starts)), dtype=U)
+    product = np.empty_like(values)
     for i, factor in enumerate(multipliers(samples)):
-        out[i] = np.minimum.reduceat(values * factor, starts)
+        out[i] = np.minimum.reduceat(np.multiply(values, factor, out=product), starts)
     return out
 
 
@@ -161,7 +165,7 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return map_arrow(both, compare, "a long, b long")
 
 
-def near_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text", samples: int = SAMPLES, stars: int = 3) -> DataFrame:
+def near_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text", samples: int = SAMPLES, stars: int = 2) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_shingles``, ``component_id`` (least id that links
     reach), ``kept`` (the row has that id).
 
@@ -210,8 +214,12 @@ def _all_links(scratch: Scratch, sets: DataFrame, keyed: DataFrame, k: int, perc
     members = sets.select("set", F.explode("buckets").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low < high").select("bucket")
     own = scratch.write(members.join(shared, "bucket"), "odd-buckets")
+    # How often a set meets others. In a family, the one that the others were made from meets
+    # most of them and is the best to compare with.
+    sizes = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    meets = own.join(sizes, "bucket").groupBy("set").agg(F.sum("size").alias("meets"))
     texts = _texts_of(scratch, own.select("set").distinct(), sets, keyed)
-    state, links, tried = own.withColumn("component", F.col("set")), None, None
+    state, links, tried = own.join(meets, "set").withColumn("component", F.col("set")), None, None
 
     def verified(pairs: DataFrame) -> DataFrame:
         """All links found so far, with those of the pairs."""
@@ -229,7 +237,8 @@ def _all_links(scratch: Scratch, sets: DataFrame, keyed: DataFrame, k: int, perc
         return scratch.write(marked.join(still, "bucket"), "odd-open")
 
     for turn in range(stars):
-        head = F.min_by(F.struct(F.col("set").alias("head"), F.col("component").alias("other")), F.xxhash64("component", F.lit(turn)))
+        order = F.xxhash64("component", F.lit(turn)) if turn else F.struct(-F.col("meets"), "set")
+        head = F.min_by(F.struct(F.col("set").alias("head"), F.col("component").alias("other")), order)
         heads = state.groupBy("bucket").agg(head.alias("h")).select("bucket", "h.*")
         pairs = state.join(heads, "bucket").where("component <> other").select("set", "head").distinct()
         x, y = sketch.alias("x"), sketch.alias("y")
