@@ -255,11 +255,12 @@ def _all_links(scratch: Scratch, sets: DataFrame, keyed: DataFrame, k: int, perc
     if not stars:
         state = scratch.write(state, "odd-open")
     # What is left of the buckets meets under the bounds, not pair by pair.
-    marked = scratch.write(state.join(sketch, "set"), "odd-left")
+    # Of the buckets that two sets share, the least one names the pair.
+    marked = scratch.write(state.join(sets.select("set", "n", "buckets", *SKETCH), "set"), "odd-left")
     x, y = marked.alias("x"), marked.alias("y")
-    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.set") > F.col("y.set")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent, how))
+    named = F.col("x.bucket") == F.array_min(F.array_intersect("x.buckets", "y.buckets"))
+    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.set") > F.col("y.set")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent, how) & named)
     pairs = met.select(F.col("x.set").alias("a"), F.col("y.set").alias("b"), apart("x", "y").alias("apart"), F.col("x.component").alias("of_a"), F.col("y.component").alias("of_b"))
-    pairs = pairs.distinct()
     if tried is not None:
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
     pairs = scratch.write(pairs, "odd-met")
