@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.bytewords import U, shingles_of, text_slices, words_of
-from tidemark.llm.store import map_arrow, ship, written
+from tidemark.llm.store import Scratch, map_arrow, ship, written
 
 CELLS_LOG = 20
 CHUNK = 1 << 12  # cells per row of partial counts
@@ -148,9 +148,18 @@ def _prefixes(keyed: DataFrame, k: int, percent: int, cells: np.ndarray) -> Data
     return map_arrow(keyed, run, "gram long, sig long, n int, place int")
 
 
-def _common(x: str, y: str, percent: int) -> Column:
+def _common_of(n: str, m: str, percent: int) -> Column:
     """N-grams that linked sets of these sizes have in common: at least this."""
-    return F.ceil(percent * (F.col(f"{x}.n") + F.col(f"{y}.n")) / (100 + percent))
+    return F.ceil(percent * (F.col(n) + F.col(m)) / (100 + percent))
+
+
+def _common(x: str, y: str, percent: int) -> Column:
+    return _common_of(f"{x}.n", f"{y}.n", percent)
+
+
+def _sizes(x: str, y: str, percent: int) -> Column:
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
 def _apart(x: str, y: str) -> Column:
@@ -161,7 +170,7 @@ def _apart(x: str, y: str) -> Column:
 def _near(x: str, y: str, percent: int) -> Column:
     """Bounds by the sizes and by the parities."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (_apart(x, y) <= n + m - 2 * _common(x, y, percent))
+    return _sizes(x, y, percent) & (_apart(x, y) <= n + m - 2 * _common(x, y, percent))
 
 
 def _product(open_rows: DataFrame, percent: int) -> DataFrame:
@@ -185,11 +194,11 @@ def _product(open_rows: DataFrame, percent: int) -> DataFrame:
     return met.where(F.col("met") + F.col("left") >= F.col("common")).select("a", "b", "apart")
 
 
-def _linked(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose whole sets are similar enough."""
-    pairs = written(pairs.select("a", "b"), "jaccard-pairs")
+def _linked(scratch: Scratch, pairs: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose whole sets are similar enough, written."""
+    pairs = scratch.write(pairs.select("a", "b"), "jaccard-pairs")
     needed = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
-    keys = written(needed.join(classes, "sig").select("row_key", "sig"), "jaccard-needed")
+    keys = scratch.write(needed.join(classes, "sig").select("row_key", "sig"), "jaccard-needed")
     # A key has 16 bytes. Beyond the bound, the join shuffles the texts instead.
     side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     # Rows repeated with id and text have one key; the joins with the pairs would multiply them.
@@ -200,7 +209,8 @@ def _linked(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, perc
             out = [values.tobytes() for _, values in sets_of(batch.column(1), k)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["sig", "grams"])
 
-    sets = written(map_arrow(texts.select("sig", "text"), to_sets, "sig long, grams binary"), "jaccard-sets")
+    sets = scratch.hold(written(map_arrow(texts.select("sig", "text"), to_sets, "sig long, grams binary"), "jaccard-sets"))
+    scratch.drop(keys)
     both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("grams").alias("grams_a")), "a").join(
         sets.select(F.col("sig").alias("b"), F.col("grams").alias("grams_b")), "b")
 
@@ -213,7 +223,9 @@ def _linked(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, perc
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_arrow(both.select("a", "b", "grams_a", "grams_b"), compare, "a long, b long").distinct()
+    links = scratch.write(map_arrow(both.select("a", "b", "grams_a", "grams_b"), compare, "a long, b long").distinct(), "jaccard-links")
+    scratch.drop(pairs, sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -231,7 +243,7 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after.select("sig", "component")
 
 
-def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text", stars: int = 1) -> DataFrame:
+def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text", stars: int = 1, scratch: Scratch | None = None) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_shingles``, ``component_id``, ``row_key`` (hash
     of id and text), ``class_key`` (the same within a component, null without words).
 
@@ -242,16 +254,18 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, id_column: s
     no least id, and are null among themselves. Repeated rows fall in one component.
     Hashes of 64 bits stand for shingles and sets. ``stars``: rounds (at least 1) that join
     families to a member before the product; it bears on cost, not on results. An empty table gives an empty result.
+    The result reads tables in ``scratch``, which a caller may drop after writing it.
     """
+    scratch = scratch or Scratch(docs.sparkSession)
     keyed = docs.select(F.xxhash64(F.col(id_column), F.col(text_column)).alias("row_key"), F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    first = written(_first_pass(keyed, k), "jaccard-first")
+    first = scratch.write(_first_pass(keyed, k), "jaccard-first")
     rows = first.where("chunk is null").select("row_key", "doc_id", "n", "sig", *BITS)
-    classes = written(rows.where("n > 0").groupBy("sig").agg(F.min("row_key").alias("row_key"), F.min("doc_id").alias("least_id"), *[F.max(b).alias(b) for b in BITS]), "jaccard-classes")
-    grams = written(_prefixes(keyed, k, percent, _cell_counts(first)), "jaccard-grams")
-    labels = _labels(grams, keyed, classes, k, percent, stars)
+    classes = scratch.write(rows.where("n > 0").groupBy("sig").agg(F.min("row_key").alias("row_key"), F.min("doc_id").alias("least_id"), *[F.max(b).alias(b) for b in BITS]), "jaccard-classes")
+    labels = _labels(scratch, _prefixes(keyed, k, percent, _cell_counts(first)), keyed, classes, k, percent, stars)
     named = classes.drop(*BITS).join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_sig = written(named.join(least, "component").select("sig", "component", "component_id"), "jaccard-components")
+    by_sig = scratch.write(named.join(least, "component").select("sig", "component", "component_id"), "jaccard-components")
+    scratch.drop(classes)
     by_sig = by_sig.withColumnRenamed("sig", "own")
     return rows.join(by_sig, (F.col("sig") == F.col("own")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -265,7 +279,9 @@ def one_per_class(docs: DataFrame, k: int = 5, percent: int = 80, stars: int = 3
 
     Only the keys of the documents that go are matched with the texts, by broadcast if they
     are few enough; the texts then do not move."""
-    found = written(jaccard_classes(docs, k, percent, stars=stars).where("class_key is not null").select("row_key", "doc_id", "class_key"), "jaccard-found")
+    scratch = Scratch(docs.sparkSession)
+    found = written(jaccard_classes(docs, k, percent, stars=stars, scratch=scratch).where("class_key is not null").select("row_key", "doc_id", "class_key"), "jaccard-found")
+    scratch.drop_all()
     first = found.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")).select("class_key", F.col("first.row_key").alias("first_key"))
     marked = found.groupBy("class_key", "row_key").agg(F.count(F.lit(1)).alias("rows")).join(first, "class_key")
     marked = written(marked.withColumn("stays", F.col("row_key") == F.col("first_key")).where("not stays or rows > 1").select("row_key", "stays"), "jaccard-marked")
@@ -277,32 +293,44 @@ def one_per_class(docs: DataFrame, k: int = 5, percent: int = 80, stars: int = 3
     return whole.union(repeats)
 
 
-def _labels(grams: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int, stars: int) -> DataFrame:
+def _labels(scratch: Scratch, incidences: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int, stars: int) -> DataFrame:
     """(sig, component) of the sets that have links."""
+    grams = scratch.write(incidences, "jaccard-grams")
     shared = grams.groupBy("gram").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low < high").select("gram")
     # Only columns with two sets or more are multiplied; copies of a set are one.
-    own = grams.join(shared, "gram").groupBy("gram", "sig").agg(F.first("n").alias("n"), F.first("place").alias("place"))
-    own = written(own.join(classes.select("sig", *BITS), "sig"), "jaccard-shared")
-    # One member of each column against the others.
+    own = scratch.write(grams.join(shared, "gram").groupBy("gram", "sig").agg(F.first("n").alias("n"), F.first("place").alias("place")), "jaccard-shared")
+    scratch.drop(grams)
+    # One member of each column against the others. The parities join the pairs, of which
+    # there are far fewer than incidences.
+    bits = classes.select("sig", *BITS)
     marked, links, labels = own.withColumn("component", F.col("sig")), None, None
     for turn in range(stars):
         heads = marked.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                           F.min_by(F.struct("sig", "n", "component", *BITS), F.xxhash64("sig", F.lit(turn))).alias("head")).where("low < high")
+                                           F.min_by(F.struct("sig", "n", "component"), F.xxhash64("sig", F.lit(turn))).alias("head")).where("low < high")
         x, y = marked.alias("x"), heads.select("gram", "head.*").alias("y")
-        pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & _near("x", "y", percent)).select(
-            F.greatest("x.sig", "y.sig").alias("a"), F.least("x.sig", "y.sig").alias("b")).distinct()
-        marked, links, labels = _marked(own, links, written(_linked(pairs, keyed, classes, k, percent), "jaccard-links"))
+        met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & _sizes("x", "y", percent)).select(
+            F.greatest("x.sig", "y.sig").alias("a"), F.least("x.sig", "y.sig").alias("b"), F.when(F.col("x.sig") > F.col("y.sig"), F.col("x.n")).otherwise(F.col("y.n")).alias("n_a"),
+            F.when(F.col("x.sig") > F.col("y.sig"), F.col("y.n")).otherwise(F.col("x.n")).alias("n_b")).distinct()
+        x, y = bits.alias("x"), bits.alias("y")
+        pairs = met.join(x, F.col("a") == F.col("x.sig")).join(y, (F.col("b") == F.col("y.sig")) & (_apart("x", "y") <= F.col("n_a") + F.col("n_b") - 2 * _common_of("n_a", "n_b", percent)))
+        marked, links, labels = _marked(own, links, _linked(scratch, pairs, keyed, classes, k, percent))
     # All pairs of sets that are not connected yet.
     still = marked.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram")
-    pairs = written(_product(written(marked.join(still, "gram"), "jaccard-open"), percent), "jaccard-meetings")
+    left = scratch.write(marked.join(still, "gram").join(bits, "sig"), "jaccard-open")
+    pairs = scratch.write(_product(left, percent), "jaccard-meetings")
+    scratch.drop(left)
     # Each set's nearest partner first; what these connect need not be compared.
     ends = pairs.select(F.col("a").alias("end"), "a", "b", "apart").union(pairs.select("b", "a", "b", "apart"))
-    best = written(ends.groupBy("end").agg(F.min(F.struct("apart", "a", "b")).alias("p")).select("p.a", "p.b").distinct(), "jaccard-best")
-    _, links, labels = _marked(own, links, written(_linked(best, keyed, classes, k, percent), "jaccard-links"))
+    best = scratch.write(ends.groupBy("end").agg(F.min(F.struct("apart", "a", "b")).alias("p")).select("p.a", "p.b").distinct(), "jaccard-best")
+    _, links, labels = _marked(own, links, _linked(scratch, best, keyed, classes, k, percent))
+    scratch.drop(own)
+    rest = pairs
     for end in ("a", "b"):
-        pairs = pairs.join(labels.select(F.col("sig").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
-    pairs = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).join(best, ["a", "b"], "left_anti")
-    return _marked(own, links, written(_linked(pairs, keyed, classes, k, percent), "jaccard-links"))[2]
+        rest = rest.join(labels.select(F.col("sig").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    rest = rest.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).join(best, ["a", "b"], "left_anti")
+    links = links.union(_linked(scratch, rest, keyed, classes, k, percent))
+    scratch.drop(pairs, best)
+    return components(links)
 
 
 def _marked(own: DataFrame, links: DataFrame | None, found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -33,7 +33,9 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_path = path
+    return back
 
 
 class Scratch:
@@ -42,19 +44,24 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.paths: dict[int, str] = {}
+        self.tables: list[DataFrame] = []
+
+    def hold(self, table: DataFrame) -> DataFrame:
+        """A table from ``written``."""
+        self.tables.append(table)
+        return table
 
     def write(self, df: DataFrame, purpose: str) -> DataFrame:
-        path = f"{shared_folder(self.spark)}/{purpose}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        back = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(back)] = path
-        return back
+        return self.hold(written(df, purpose))
 
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table)))
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
             folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.tables = [t for t in self.tables if not any(t is gone for gone in tables)]
+
+    def drop_all(self) -> None:
+        self.drop(*self.tables)
 
 
 _shipped: set[str] = set()
