@@ -8,7 +8,7 @@ from tidemark.plans import fixtures
 from tidemark.plans.normalise import normalise, publishable
 from tidemark.sources.catalogs import column_dictionary
 from tidemark.sources.logs import LANDED_SCHEMAS, stream_change_log
-from tidemark.streaming.incremental import publish_raw, redo_stream
+from tidemark.streaming.incremental import publish_raw, publish_redo
 
 from test_transactions import log_frame, random_log
 
@@ -82,13 +82,21 @@ def test_decoded_log(spark, tmp_path):
 
 
 def test_redo_stream(spark, tmp_path):
+    """Positions read again, within a batch and across two, and a piece that comes late."""
     redo = fixtures.redo_log(spark, SF).select(*[c.split()[0] for c in LANDED_SCHEMAS["oracle"].split(", ")])
-    for part in (redo, redo.where("scn % 6 = 0")):
-        part.coalesce(1).write.mode("append").parquet(str(tmp_path))
-    stream = stream_change_log(spark, str(tmp_path), "oracle", max_files=1)
-    rows = redo_stream(stream, "fin", 10, "orclpdb1", within="10000 days")
-    query = rows.writeStream.format("memory").queryName("redo_out").trigger(availableNow=True).start()
-    query.awaitTermination()
+    mid = [r["scn"] for r in redo.where("scn % 4 = 0").orderBy("scn").collect()][300]
+    landed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    pieces = [redo.where(F.col("scn") <= mid), redo.where(F.col("scn") >= mid).union(redo.where(F.col("scn") % 6 == 0).where(F.col("scn") > mid)), redo.where(F.col("scn") < 200)]
+    for part in pieces:
+        part.coalesce(1).write.mode("append").parquet(landed)
+        stream = stream_change_log(spark, landed, "oracle", max_files=1)
+        publish_redo(stream, out, str(tmp_path / "cp"), "fin", 10, "orclpdb1").awaitTermination()
     batch = normalise("oracle", redo, owner="fin", start=10, container="orclpdb1")
+    committed, _, dead = publishable(batch)
     columns = ["ord", "op", "tx", "database"]
-    assert as_set(spark.table("redo_out"), columns) == as_set(batch, columns)
+    events = spark.read.parquet(f"{out}/events")
+    assert as_set(events, columns) == as_set(committed, columns) and events.count() == committed.count()
+    letters = spark.read.parquet(f"{out}/dead_letters")
+    assert as_set(letters, ["ord"]) == as_set(dead, ["ord"]) and letters.count() == dead.count()
+    late = spark.read.schema(LANDED_SCHEMAS["oracle"]).parquet(f"{out}/late")
+    assert as_set(late, ["ord"]) == as_set(redo.where("scn >= 10 and scn < 200 and src_con_name = 'ORCLPDB1'"), ["ord"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import metrics, positions
 from tidemark.operators import transactions as tx
 from tidemark.sources.logs import stream_change_log
+from tidemark.schema import LOG_SCHEMA
 from tidemark.streaming import gate, sinks
 
 from test_transactions import START, log_frame, random_log
@@ -42,26 +43,65 @@ def simple_log(spark, n=120):
     return log_frame(spark, rows)
 
 
-def test_gate_stream_equals_batch(spark, tmp_path):
-    log = simple_log(spark)
-    land(log, str(tmp_path), [50, 51, 300, 500])
-    stream = stream_change_log(spark, str(tmp_path), "log", max_files=1)
-    out = run(gate.commit_gate_stream(stream, max_tx="30 seconds", lateness="5 seconds", salts=3))
-    columns = ["connector", "ord", "commit_ord", "commit_offset"]
-    assert sorted(map(tuple, out.select(columns).collect())) == sorted(map(tuple, tx.commit_gate(log).select(columns).collect()))
-
-
-def test_uncommitted_stream(spark, tmp_path):
-    """Open rows come out once the watermark has passed them, committed ones never do."""
-    log = simple_log(spark)
-    land(log, str(tmp_path), [200, 400])
-    stream = stream_change_log(spark, str(tmp_path), "log", max_files=1)
-    out = run(gate.uncommitted_stream(stream, max_tx="30 seconds", lateness="5 seconds", salts=3))
-    given_up = {(r["connector"], r["ord"]) for r in out.collect()}
-    still_open = {(r["connector"], r["ord"]) for r in tx.uncommitted(log).collect()}
-    assert given_up and given_up <= still_open
-    last = log.agg(F.max("ord")).first()[0]
-    assert {o for _, o in still_open - given_up} <= set(range(last - 60, last + 1))
+def gated(spark, pieces, path, **settings):
+    """Committed, waiting and late rows after the pieces came one by one."""
+    for piece in pieces:
+        piece.coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = stream_change_log(spark, f"{path}/in", "log", max_files=1)
+        gate.publish_committed(stream, f"{path}/out", f"{path}/cp", **settings).awaitTermination()
+    every = {k: v for k, v in settings.items() if k == "compact_every"}
+    read = spark.read.schema(LOG_SCHEMA)
+    return spark.read.parquet(f"{path}/out/committed"), gate.read_waiting(spark, f"{path}/out", **every), read.parquet(f"{path}/out/late")
+
+
+def places(rows, *columns):
+    return sorted(map(tuple, rows.select("connector", "ord", *columns).collect()))
+
+
+@pytest.mark.parametrize("settings", [{}, {"compact_every": 2}])
+def test_gate_stream_equals_batch(spark, tmp_path, settings):
+    """Ids come back after their commit; one transaction holds much of the log."""
+    log = log_frame(spark, random_log(8))
+    edges = [0, 90, 91, 300, 450, 600]
+    pieces = [log.where((F.col("ord") >= lo) & (F.col("ord") < hi)) for lo, hi in zip(edges, edges[1:])]
+    committed, waiting, late = gated(spark, pieces, str(tmp_path), **settings)
+    assert places(committed, "commit_ord", "commit_offset") == places(tx.commit_gate(log), "commit_ord", "commit_offset")
+    assert places(waiting) == places(tx.uncommitted(log)) and late.isEmpty()
+
+
+@pytest.mark.parametrize("settings", [{}, {"compact_every": 1}])
+def test_gate_stream_loses_no_late_row(spark, tmp_path, settings):
+    """Rows hours behind, with their commit or long after it, are published all the same."""
+    def piece(*rows):
+        return log_frame(spark, [("a", tx_id, op, ord_) for tx_id, op, ord_ in rows])
+
+    pieces = [
+        piece(("t0", "INSERT", 1), ("t0", "COMMIT", 2)), piece(("t1", "INSERT", 18000), ("t1", "COMMIT", 18001), ("t9", "INSERT", 18002)),
+        piece(("t2", "INSERT", 1200), ("t2", "COMMIT", 1201), ("t0", "UPDATE", 0)), piece(("t9", "DELETE", 90000)),
+        piece(("t9", "COMMIT", 200000), ("t9", "INSERT", 200001)),
+    ]
+    committed, waiting, late = gated(spark, pieces, str(tmp_path), **settings)
+    assert places(committed, "commit_ord") == [("a", 0, 2), ("a", 1, 2), ("a", 1200, 1201), ("a", 18000, 18001), ("a", 18002, 200000), ("a", 90000, 200000)]
+    assert places(waiting) == [("a", 200001)] and late.isEmpty()
+
+
+def test_rows_before_forgotten_commits_are_late(spark, tmp_path):
+    log = log_frame(spark, random_log(9))
+    pieces = [log.where((F.col("ord") >= lo) & (F.col("ord") < lo + 100)) for lo in range(0, 600, 100)]
+    pieces = [*pieces[:1], *pieces[2:], pieces[1]]
+    outcomes = gated(spark, pieces, str(tmp_path), compact_every=2, remember=1)
+    found = sorted(p for rows in outcomes for p in places(rows))
+    assert found == places(log.where(tx.is_data())) and not outcomes[2].isEmpty()
+
+
+def test_gate_writes_only_what_a_batch_adds(spark, tmp_path):
+    """A long open transaction is not written again by later batches."""
+    first = log_frame(spark, [("a", "long", "INSERT", i) for i in range(500)])
+    rest = [log_frame(spark, [("a", f"t{i}", "INSERT", 1000 + 2 * i), ("a", f"t{i}", "COMMIT", 1001 + 2 * i)]) for i in range(3)]
+    _, waiting, _ = gated(spark, [first, *rest], str(tmp_path))
+    out = str(tmp_path / "out")
+    assert [spark.read.schema(LOG_SCHEMA).parquet(f"{out}/open/batch={b}").count() for b in range(4)] == [500, 0, 0, 0]
+    assert waiting.count() == 500
 
 
 @pytest.mark.parametrize("salted", [True, False])

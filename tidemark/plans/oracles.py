@@ -431,3 +431,16 @@ ORACLES["stream_accounting"] = _pg("""
 select case when reason is not null then 'dead letter' when commit_ord is null then 'waiting' else 'published' end as outcome,
   connector, count(*) as n_rows, cast(sum(ord) as bigint) as sum_ord
 from pg group by all""")
+ORACLES["gate_accounting"] = _chlog("""
+select case when commit_ord is null then 'waiting' else 'committed' end as outcome, connector, count(*) as n_rows,
+  cast(sum(ord) as bigint) as sum_ord
+from attributed group by all""")
+ORACLES["resume_pruned"] = ORACLES["resume"]
+ORACLES["oracle_stream"] = ORACLES["oracle_published"]
+ORACLES["oracle_accounting"] = _redo("""
+, mine as (select * from redo where con = 'ORCLPDB1' and k >= 100),
+outcomes as (
+  select case when good then 'published' else 'dead letter' end as outcome, k from mine where op <> 'DDL'
+  union all
+  select 'late', k from mine where floor(k * 5 / ((select max(k) from redo) + 1)) = 0)
+select outcome, 'ora-fin' as connector, count(*) as n_rows, cast(sum(k) as bigint) as sum_ord from outcomes group by all""")

@@ -22,8 +22,8 @@ from tidemark.operators.oracle import redo_events, redo_images, redo_rows
 from tidemark.operators.postgres import pg_events, pg_messages
 from tidemark.plans import fixtures
 from tidemark.plans.normalise import normalise, publishable
-from tidemark.schema import TOAST_SENTINEL, from_event, to_event, with_event_id
-from tidemark.sources import catalogs, connectors, logs, snapshots
+from tidemark.schema import LOG_SCHEMA, TOAST_SENTINEL, from_event, to_event, with_event_id
+from tidemark.sources import catalogs, connectors, logs, manifest, snapshots
 from tidemark.streaming import gate, incremental, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -456,16 +456,41 @@ def commit_gate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: The order in which the pieces of a log arrive: one comes late.
+ARRIVAL = (0, 1, 3, 2, 4)
+
+
+def _gated(spark: SparkSession, sf: str) -> str:
+    """Publish the committed rows of a log that lands in five pieces, out of order, with the
+    settings that callers get; the folder of the outputs."""
+    base = sinks.scratch_dir(spark, "gate")
+    fixtures.change_log(spark, sf).drop("pk").write.parquet(f"{base}/whole")
+    whole = spark.read.schema(LOG_SCHEMA).parquet(f"{base}/whole")
+    end = (whole.agg(F.max("ord")).first()[0] or 0) + 1
+    for piece in ARRIVAL:
+        whole.where(F.floor(F.col("ord") * len(ARRIVAL) / end) == piece).write.mode("append").parquet(f"{base}/landed")
+        log = logs.stream_change_log(spark, f"{base}/landed", "log")
+        gate.publish_committed(log, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return f"{base}/out"
+
+
 @query("commit_gate_stream")
 def commit_gate_stream(spark: SparkSession, sf: str) -> DataFrame:
-    base = sinks.scratch_dir(spark, "gate")
-    fixtures.change_log(spark, sf).drop("pk").write.parquet(f"{base}/landed")
-    log = logs.stream_change_log(spark, f"{base}/landed", "log")
-    # The test tables cover some weeks in one go, so nothing may count as late.
-    rows = gate.commit_gate_stream(log, max_tx="60 days", lateness="60 days")
-    flat = rows.select("connector", "table", tx_number().alias("tx"), "op", "ord", "commit_ord")
-    sinks.run_available(flat, f"{base}/out", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    rows = spark.read.parquet(_gated(spark, sf) + "/committed")
+    return rows.select("connector", "table", tx_number().alias("tx"), "op", "ord", "commit_ord")
+
+
+@query("gate_accounting")
+def gate_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    """Every data row of a log in pieces, by what the stream gate made of it."""
+    out = _gated(spark, sf)
+    parts = [
+        ("committed", spark.read.parquet(f"{out}/committed")),
+        ("waiting", gate.read_waiting(spark, out)),
+        ("late", spark.read.schema(LOG_SCHEMA).parquet(f"{out}/late")),
+    ]
+    rows = reduce(DataFrame.unionAll, [rows.select(F.lit(name).alias("outcome"), "connector", "ord") for name, rows in parts])
+    return rows.groupBy("outcome", "connector").agg(F.count("*").alias("n_rows"), F.sum("ord").alias("sum_ord"))
 
 
 @query("emit_order")
@@ -573,6 +598,20 @@ def resume(spark: SparkSession, sf: str) -> DataFrame:
     return positions.resume(log, stored).select("connector", "ord", "op")
 
 
+@query("resume_pruned")
+def resume_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from landed files, of which only those are read that reach the positions."""
+    base = sinks.scratch_dir(spark, "resume")
+    whole = fixtures.change_log(spark, sf).drop("pk")
+    whole.repartitionByRange(8, "connector", "ord").write.parquet(base)
+    landed = logs.read_change_log(spark, base, "log")
+    stored = landed.where((F.col("op") == "COMMIT") & (F.col("ord") % 5 == 1)).groupBy("connector").agg(
+        F.min_by("offset", "ord").alias("offset")
+    )
+    stored = stored.withColumn("offset", F.when(F.col("connector") == "ora-fin", F.lit(" ")).otherwise(F.col("offset")))
+    return manifest.resume_files(spark, base, manifest.file_positions(landed), stored).select("connector", "ord", "op")
+
+
 @query("scn_position")
 def scn_position(spark: SparkSession, sf: str) -> DataFrame:
     return positions.scn_position(fixtures.redo_log(spark, sf))
@@ -796,3 +835,44 @@ def mysql_published(spark: SparkSession, sf: str) -> DataFrame:
 def oracle_published(spark: SparkSession, sf: str) -> DataFrame:
     rows = normalise("oracle", _repeated_redo(spark, sf), owner="FIN", start=100, container="ORCLPDB1")
     return _published(publishable(rows)[0])
+
+
+def _mined(spark: SparkSession, sf: str) -> str:
+    """Publish redo records as a stream. Each piece begins with the last position of the one
+    before, as mining does that goes on from there; after the last, the first comes again."""
+    base = sinks.scratch_dir(spark, "redo")
+    columns = [c.split()[0] for c in logs.LANDED_SCHEMAS["oracle"].split(", ")]
+    _repeated_redo(spark, sf).select(*columns).write.parquet(f"{base}/whole")
+    whole = spark.read.parquet(f"{base}/whole")
+    end = (whole.agg(F.max("scn")).first()[0] or 0) + 1
+    piece = F.floor(F.col("scn") * STREAM_BATCHES / end)
+    last = {r["piece"]: r["scn"] for r in whole.groupBy(piece.alias("piece")).agg(F.max("scn").alias("scn")).collect()}
+    for n in [*range(STREAM_BATCHES), 0]:
+        rows = whole.where((piece == n) | (F.col("scn") == F.lit(last.get(n - 1)).cast("bigint")))
+        rows.write.mode("append").parquet(f"{base}/landed")
+        stream = logs.stream_change_log(spark, f"{base}/landed", "oracle")
+        incremental.publish_redo(stream, f"{base}/out", f"{base}/checkpoint", "FIN", 100, "ORCLPDB1").awaitTermination()
+    return f"{base}/out"
+
+
+@query("oracle_stream")
+def oracle_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(_mined(spark, sf) + "/events")
+    return rows.groupBy("topic", "op").agg(
+        F.count("*").alias("events"), F.min("ord").alias("first_ord"), F.max("commit_ord").alias("last_commit")
+    )
+
+
+@query("oracle_accounting")
+def oracle_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    """Every statement of a redo stream, by what became of it; late ones are those sent again."""
+    out = _mined(spark, sf)
+    schema = logs.LANDED_SCHEMAS["oracle"]
+    late = spark.read.schema(schema).parquet(f"{out}/late").select("connector", "scn").distinct()
+    parts = [
+        ("published", spark.read.parquet(f"{out}/events").select("connector", "ord")),
+        ("dead letter", spark.read.parquet(f"{out}/dead_letters").select("connector", "ord")),
+        ("late", late),
+    ]
+    rows = reduce(DataFrame.unionAll, [rows.select(F.lit(name).alias("outcome"), *rows.columns).toDF("outcome", "connector", "ord") for name, rows in parts])
+    return rows.groupBy("outcome", "connector").agg(F.count("*").alias("n_rows"), F.sum("ord").alias("sum_ord"))

@@ -11,19 +11,20 @@ follow the order of the log, as landed files and topic partitions do.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.pgbytes import char, uint
-from tidemark.operators.filters import FINGERPRINT, owner_filter
+from tidemark.operators.filters import FINGERPRINT, dedup_fingerprint, owner_filter
 from tidemark.operators.joins import side_join
 from tidemark.operators.mysql import is_commit
 from tidemark.operators.oracle import redo_events
 from tidemark.operators.postgres import RELATION
 from tidemark.operators.transactions import attribute_commits, uncommitted
 from tidemark.plans.normalise import normalise, publishable
-from tidemark.streaming.gate import dedup_stream
 from tidemark.streaming.sinks import write_lake
 
 
@@ -146,9 +147,56 @@ def publish_raw(stream: DataFrame, kind: str, path: str, checkpoint: str, **sett
     )
 
 
-def redo_stream(redo: DataFrame, owner: str, start: int = 0, container: str | None = None,
-                within: str = "10 minutes", literal_parity: bool = False) -> DataFrame:
-    """Stream of redo records → stream of log rows. They are committed already, so only the
-    repeats at one position need state."""
-    mine = owner_filter(redo, owner, start, container)
-    return redo_events(dedup_stream(mine, FINGERPRINT, "timestamp", within), container, literal_parity)
+def _first_seen(redo: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """One row per statement at a position, without those that earlier batches had."""
+    once = dedup_fingerprint(redo, order="ord")
+    if seen is None:
+        return once
+    same = reduce(Column.__and__, [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in FINGERPRINT])
+    return once.alias("r").join(seen.alias("s"), same, "left_anti")
+
+
+def publish_redo(stream: DataFrame, path: str, checkpoint: str, owner: str, start: int = 0, container: str | None = None,
+                 literal_parity: bool = False) -> StreamingQuery:
+    """Stream of mined redo records → under ``path``, each with a folder ``batch=<id>``:
+    ``events`` by topic, ``dead_letters`` and ``late``. Stops when nothing is left to read.
+
+    Mining goes on from the last position read, which is read again, so the statements at that
+    position come twice. They are recognised by their fingerprints, which are carried from
+    batch to batch for the last position of each connector only: the state ends when the
+    position moves on, not with a clock. Records below that position, repeats or not, go to
+    ``late``. Every record of the owner is published, dead, late, or a repeat of one that is.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before, here = f"batch={batch_id - 1}", f"batch={batch_id}"
+        mine = owner_filter(batch, owner, start, container)
+        mine.persist()
+        seen = _read(spark, f"{path}/seen/{before}")
+        last = None if seen is None else seen.groupBy("connector").agg(F.max("scn").alias("last_scn"))
+        rows, late = mine, mine.limit(0)
+        if last is not None:
+            placed = side_join(mine, last, ["connector"], "left")
+            below = F.coalesce(F.col("scn") < F.col("last_scn"), F.lit(False))
+            rows, late = placed.where(~below).select(*mine.columns), placed.where(below).select(*mine.columns)
+        fresh = _first_seen(rows, seen)
+        fresh.persist()
+        published, _, dead = publishable(redo_events(fresh, container, literal_parity).withColumnRenamed("sql_redo", "raw"))
+        write_lake(published, f"{path}/events/{here}", mode="overwrite")
+        dead.write.mode("overwrite").parquet(f"{path}/dead_letters/{here}")
+        late.write.mode("overwrite").parquet(f"{path}/late/{here}")
+        prints = fresh.select(*FINGERPRINT)
+        prints = prints if seen is None else prints.unionByName(seen)
+        newest = prints.groupBy("connector").agg(F.max("scn").alias("__newest"))
+        side_join(prints, newest, ["connector"], "inner").where(F.col("scn") == F.col("__newest")).select(*FINGERPRINT).write.mode(
+            "overwrite").parquet(f"{path}/seen/{here}")
+        fresh.unpersist()
+        mine.unpersist()
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
