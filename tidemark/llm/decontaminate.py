@@ -23,7 +23,7 @@ BLOCKS = 4  # of 16 bits: within RADIUS, some block differs in at most RADIUS //
 BLOCK_ITEMS, BLOCK_BYTES = 1024, 8 << 20
 FILTER_BITS = 22
 CHUNK = 4096  # window starts fingerprinted at once, 1 KB each
-LEAKS = "array<struct<item_id:long,similarity:double,first_word:int,n_words:int>>"
+LEAKS = "array<struct<item_id:{},similarity:double,first_word:int,n_words:int>>"  # by the type of the item's id
 POPCOUNT = np.array([bin(i).count("1") for i in range(1 << 16)], dtype=np.uint8)
 BIT = np.arange(64, dtype=U)
 
@@ -145,16 +145,26 @@ def item_blocks(benchmark: DataFrame, id_column: str, text_column: str) -> Itera
         yield ItemIndex(ids, texts)
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The columns of ``docs`` and ``__leaks``: per benchmark item of which some window of the
+def free_name(table: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as make it no column of the table."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_id: str = "item_id", item_text: str = "text", name: str = "__leaks") -> DataFrame:
+    """The columns of ``docs`` and ``name``, which must not be one of them: per benchmark item of which some window of the
     item's size is similar (0.8 or more on five-word shingles, A-Z lower-cased), the item, the
     best similarity and its place in words.
 
     Items with fewer than five words are one shingle of all their words; a text shorter than
     an item is one window. Null or empty texts and items match nothing. Repeated rows are
-    treated alike; repeated items are all reported. An empty benchmark gives empty lists.
+    treated alike; repeated items are all reported; item ids may be of any type. An empty benchmark gives empty lists.
     """
-    out = docs.withColumn("__leaks", F.array().cast(LEAKS))
+    if free_name(docs, name) != name:
+        raise ValueError(f"the documents have a column {name!r}")
+    out = docs.withColumn(name, F.array().cast(LEAKS.format(benchmark.schema[item_id].dataType.simpleString())))
     position, place = docs.columns.index(text_column), len(docs.columns)
     for index in item_blocks(benchmark, item_id, item_text):
         if len(index.ids):
@@ -196,5 +206,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item is found."""
-    return with_leaks(docs, benchmark).where(F.size("__leaks") == 0).drop("__leaks")
+    """The documents in which no benchmark item is found, with all their columns, whatever
+    their names."""
+    name = free_name(docs, "__leaks")
+    return with_leaks(docs, benchmark, name=name).where(F.size(name) == 0).drop(name)
