@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.bytewords import U, mix, shingles_of, text_slices, words_of
-from tidemark.llm.store import map_arrow
+from tidemark.llm.store import free_name, map_arrow
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -145,14 +145,6 @@ def item_blocks(benchmark: DataFrame, id_column: str, text_column: str) -> Itera
         yield ItemIndex(ids, texts)
 
 
-def free_name(table: DataFrame, name: str) -> str:
-    """The name, with as many underscores behind it as make it no column of the table."""
-    taken = {c.lower() for c in table.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_id: str = "item_id", item_text: str = "text", name: str = "__leaks") -> DataFrame:
     """The columns of ``docs`` and ``name``, which must not be one of them: per benchmark item of which some window of the
     item's size is similar (0.8 or more on five-word shingles, A-Z lower-cased), the item, the

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.binding import let, with_once
+from tidemark.llm.store import free_name
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns. They are written so that no match is tried twice
@@ -215,19 +216,20 @@ def find_spans(docs: DataFrame, text_column: str = "text", accepted: list[str] |
     candidates if the classifier takes them and no base span overlaps them.
 
     Null and empty texts: no spans. Repeated rows: treated alike. Empty input: no rows, and a
-    classifier that takes nothing.
+    classifier that takes nothing. Columns of any name stay, but for an earlier ``__spans``.
     """
     keys = fit(docs, text_column) if accepted is None else accepted
     text = F.coalesce(F.col(text_column), F.lit(""))
-    found = with_once(docs, {"__c": candidates(text)})
-    found = with_once(found, {"__b": F.filter("__c", lambda s: s["base"])})
+    all_of, base_of = free_name(docs, "__c"), free_name(docs, "__b")
+    found = with_once(docs, {all_of: candidates(text)})
+    found = with_once(found, {base_of: F.filter(all_of, lambda s: s["base"])})
     known = F.array(*[F.lit(k) for k in keys]).cast("array<string>")
-    apart = lambda s: ~F.exists("__b", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    taken = F.filter("__c", lambda s: s["base"] | (F.array_contains(known, s["key"]) & apart(s)))
+    apart = lambda s: ~F.exists(base_of, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    taken = F.filter(all_of, lambda s: s["base"] | (F.array_contains(known, s["key"]) & apart(s)))
     ranks = F.array(*[F.lit(k) for k in ALL_KINDS])
     ordered = F.sort_array(F.transform(taken, lambda s: F.struct(
         s["start"].alias("start"), F.array_position(ranks, s["kind"]).alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"), s["base"].alias("base"))))
-    return found.withColumn("__spans", ordered).drop("__c", "__b")
+    return found.withColumn("__spans", ordered).drop(all_of, base_of)
 
 
 def count_of(spans: Column, kind: str) -> Column:

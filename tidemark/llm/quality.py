@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.binding import with_once
-from tidemark.llm.store import written
+from tidemark.llm.store import free_name, written
 from tidemark.llm.texts import SPACE_RUN, SPACES, symbol_count, word_array, word_chars
 
 MIN_WORDS = 50
@@ -75,8 +75,8 @@ def thresholds(counted: DataFrame, keys: list[str]) -> DataFrame:
         (third[n] + RATIOS[n][0] * F.greatest(F.lit(RATIOS[n][1]), third[n] - first[n])).alias(f"max_{n}") for n in ratios])
 
 
-def judged(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", source_column: str = "source") -> DataFrame:
-    """The columns of ``docs`` and ``__q``: a struct of the counts, ``base_failed``,
+def judged(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", source_column: str = "source", into: str = "__q") -> DataFrame:
+    """The columns of ``docs`` and ``into``, which must not be one of them: a struct of the counts, ``base_failed``,
     ``kept`` and the group's cutoffs.
 
     The first pass sketches the ratios of all documents, the second counts again and joins
@@ -100,9 +100,10 @@ def judged(docs: DataFrame, text_column: str = "text", lang_column: str = "lang"
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), (~base_failed() & ~over).alias("kept"),
         *[F.col(f"max_{n}") for n in RATIOS])
-    return joined.select("__row.*", verdict.alias("__q"))
+    return joined.select("__row.*", verdict.alias(into))
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep."""
-    return judged(docs).where("__q.kept").drop("__q")
+    """The documents that the rules keep, with all their columns, whatever their names."""
+    name = free_name(docs, "__q")
+    return judged(docs, into=name).where(F.col(name)["kept"]).drop(name)

@@ -15,6 +15,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(table: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as make it no column of the table."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``. A local session without it (tests) gets one
     of its own; a cluster without it is refused, as its executors share no other folder."""
