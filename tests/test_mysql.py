@@ -13,9 +13,9 @@ def frame(spark, events):
     for ord_, event, extra in events:
         rows.append({
             "connector": "m", "server_id": 1, "ord": ord_, "file": "f.000001", "pos": ord_ * 10, "event": event,
-            "header_ts": None, "table_id": None, "db": None, "table": None, "sql": None, "rows": None, "ingested_at": None,
+            "header_ts": None, "table_id": None, "db": None, "table": None, "sql": None, "rows": None, "ingested_at": None, "gtid": None,
         } | extra)
-    columns = ["connector", "server_id", "ord", "file", "pos", "event", "header_ts", "table_id", "db", "table", "sql", "rows", "ingested_at"]
+    columns = ["connector", "server_id", "ord", "file", "pos", "event", "header_ts", "table_id", "db", "table", "sql", "rows", "ingested_at", "gtid"]
     log = spark.createDataFrame([tuple(r[c] for c in columns) for r in rows],
                                 BINLOG_SCHEMA.replace("header_ts TIMESTAMP", "header_ts BIGINT"))
     return log.withColumn("header_ts", F.timestamp_seconds("header_ts"))

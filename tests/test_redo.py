@@ -138,3 +138,19 @@ def test_obfuscate(spark):
     assert mask("set A = 'open and secret") == "set A = '?'"
     assert mask("set A = 'x' and B = 'open 'secret") == "set A = '?' and B = '?'secret"
     assert mask("no literals") == "no literals"
+
+
+def test_obfuscate_numbers_and_comments(spark):
+    mask = lambda sql: one(spark, obfuscate_sql(F.col("sql")), sql)
+    assert mask("insert into T(CPF,SAL) values (12345678901, -9500.50, 1e-7, .5, 0x1F)") == (
+        "insert into T(CPF,SAL) values (?, -?, ?, ?, ?)")
+    assert mask("""update "S 1"."T2" set C3 = 7, "4" = N'x' where ROWID = 'AA1'""") == (
+        """update "S 1"."T2" set C3 = ?, "4" = '?' where ROWID = '?'""")
+    assert mask("set D = DATE '2024-01-02', E=to_date('1','2')") == "set D = DATE '?', E=to_date('?','?')"
+    assert mask("a = 1 -- it's 5\nand b = 2 /* c = '3 */ and d = 4") == "a = ? ?\nand b = ? ? and d = ?"
+    assert mask("""x = "it's" and y = 'secret'""") == """x = "it's" and y = '?'"""
+    assert mask("a1'b2'3c") == "a1'?'?c"
+    assert mask("x = 1\u00012 and y = /* open 3") == "x = ? ? and y = ?"
+    assert mask("") == "" and mask(None) is None
+    assert mask("a in (" + ",".join(str(n) for n in range(50000)) + ")") == "a in (" + ",".join(["?"] * 50000) + ")"
+    assert mask("a = '" + "x''" * 200000 + "'") == "a = '?'"

@@ -201,9 +201,25 @@ def raw_image(sql: Column) -> Column:
     return F.create_map(F.lit("raw_sql"), sql)
 
 
+# One token of a statement: group 1 is kept (quoted and plain identifiers); of what is
+# masked, group 2 is the quote of a text, which may lack its end.
+_MASKED_TOKEN = (
+    r"[Nn]?(')[^']*+(?:''[^']*+)*+(?:'|\z)"
+    r"""|("[^"]*+(?:"|\z)|[\p{L}_$#][\p{L}\p{N}_$#]*+)"""
+    r"|--[^\r\n]*+|/\*(?:(?!\*/)[\s\S])*+(?:\*/|\z)"
+    r"|0[xX][0-9A-Fa-f]++|(?:\p{N}++(?:\.\p{N}*+)?+|\.\p{N}++)(?:[eE][+-]?+\p{N}++)?+[dDfF]?+(?![\p{L}\p{N}_$#])|\p{N}++"
+)
+_MARK = "\u0001"
+
+
 def obfuscate_sql(sql: Column) -> Column:
-    """Mask the text literals of a statement."""
-    masked = F.regexp_replace(sql, _TEXT, "'?'")
-    # An unterminated literal is masked up to the end of the statement.
-    masked = F.regexp_replace(masked, r"^((?:[^']|'\?')*+)'(?!\?')[\s\S]*+$", "$1'?'")
-    return masked
+    """Mask what a statement says about its rows: texts (national ones and dates included)
+    become ``'?'``, numbers and comments ``?``. Names stay, whatever digits they hold.
+
+    All tokens are found in one pass, so a quote in a comment or in a quoted name opens no
+    text. A text without an end goes on to the end of the statement. Signs stay."""
+    marked = F.regexp_replace(F.translate(sql, _MARK, " "), _MASKED_TOKEN, "$2" + _MARK + "$1")
+    # A mark right after a name stands for the name itself.
+    kept = F.regexp_replace(marked, r"""([\p{L}\p{N}_$#"])""" + _MARK, "$1")
+    texts = F.regexp_replace(kept, _MARK + "'", "'?'")
+    return F.translate(texts, _MARK, "?")

@@ -2,7 +2,8 @@
 
 Input columns: ``connector, server_id, ord, file, pos, event, header_ts, table_id, db,
 table, sql, rows ARRAY<STRUCT<before ARRAY<STRING>, after ARRAY<STRING>>>, ingested_at``
-where ``event`` is one of TABLE_MAP, WRITE, UPDATE, DELETE, XID, QUERY.
+where ``event`` is one of TABLE_MAP, WRITE, UPDATE, DELETE, XID, QUERY; ``gtid``, the id of the
+transaction, if it was landed.
 """
 
 from __future__ import annotations
@@ -38,15 +39,17 @@ def resolve(log: DataFrame, mode: str = "positional", bits: int = BIN_BITS) -> D
     """Add ``mapped`` (database and table of the latest table map with the row's id),
     ``tx`` and, for ``mode="positional"``, the closing commit.
 
-    ``positional`` numbers transactions by the commits before them; ``header`` builds the
-    id from the event header, and commits must then be found by ``commit_gate``.
+    ``positional`` numbers transactions by the commits before them; ``landed`` takes the id
+    landed in ``gtid``, which stays the same wherever reading starts, and the number only for
+    rows without one; ``header`` builds the id from the event header, and commits must then be
+    found by ``commit_gate``.
     """
-    if mode not in ("positional", "header"):
+    if mode not in ("positional", "landed", "header"):
         raise ValueError(f"unknown mode {mode!r}")
     commit = is_commit()
     table_map = F.when(F.col("event") == "TABLE_MAP", F.struct(F.col("db").alias("db"), F.col("table").alias("table")))
     values = [Carry("mapped", table_map, by=("table_id",))]
-    if mode == "positional":
+    if mode != "header":
         closing = F.struct(
             F.col("ord").alias("ord"), F.col("header_ts").alias("ts"), binlog_position().alias("offset")
         )
@@ -62,9 +65,10 @@ def resolve(log: DataFrame, mode: str = "positional", bits: int = BIN_BITS) -> D
                    (("commit_ord", "bigint"), ("commit_ts", "timestamp"), ("commit_offset", "string"))}
         return found.withColumns({"tx": header_tx(), **missing})
     closed = F.when(F.col("event").isin(*ROW_EVENTS), F.col("closing"))
+    number = F.col("commits_before").cast("string")
     return found.withColumns(
         {
-            "tx": F.col("commits_before").cast("string"),
+            "tx": F.coalesce(F.lower(F.trim("gtid")), number) if mode == "landed" else number,
             "commit_ord": closed["ord"],
             "commit_ts": closed["ts"],
             "commit_offset": closed["offset"],

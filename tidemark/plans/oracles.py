@@ -130,6 +130,26 @@ def _binlog(select: str) -> str:
     return f"with {_BINLOG} {select}"
 
 
+_GTIDS = """
+named as (
+  select *, g // 8 + 1 as gno, case when (g // 8) // 50 % 2 = 0 then '0a000000-0000-0000-0000-00000000000a'
+    else '0b000000-0000-0000-0000-00000000000b' end as server from bl),
+commits as (select distinct connector, server, gno from named where g % 4 = 3),
+runs as (
+  select connector, server, min(gno) as lo, max(gno) as hi from (
+    select *, gno - row_number() over (partition by connector, server order by gno) as island from commits)
+  group by connector, server, island),
+servers as (
+  select connector, server, string_agg(case when lo = hi then cast(lo as varchar)
+    else cast(lo as varchar) || '-' || cast(hi as varchar) end, ':' order by lo) as numbers from runs group by all),
+whole as (select connector, string_agg(server || ':' || numbers, ',' order by server) as text from servers group by connector)
+"""
+
+
+def _gtids(select: str) -> str:
+    return f"with {_BINLOG}, {_GTIDS} {select}"
+
+
 _ISO = """strftime(ts, '%Y-%m-%dT%H:%M:%S') || case
     when epoch_us(ts) % 1000000 = 0 then ''
     when epoch_us(ts) % 1000 = 0 then '.' || lpad(cast(epoch_us(ts) % 1000000 // 1000 as varchar), 3, '0')
@@ -264,6 +284,26 @@ waiting as (
 select w.connector, w.tx, w.ord, w.ordinal, min(m.commit_ord) as commit_ord
 from waiting w left join marks m on m.connector = w.connector and m.tx = w.tx and m.commit_ord >= w.ord
 group by all"""),
+    "binlog_tx_gtid": _gtids("""
+select connector, server || ':' || cast(gno as varchar) as tx, count(*) as n_rows, max(commit_ord) as commit_ord
+from named where db is not null group by all"""),
+    "gtid_offsets": _gtids("""
+select connector, 'mysql' as connector_type, text as "offset" from whole"""),
+    "gtid_missing": _gtids("""
+select connector, string_agg(server || ':' || numbers, ',' order by server) as missing, true as within, true as whole from (
+  select connector, server, string_agg(cast(gno as varchar), ':' order by gno) as numbers
+  from commits where gno % 7 = 0 group by all) group by connector"""),
+    "gtid_resume": _gtids("""
+, log as (
+  select distinct connector, ord, case op when 'INSERT' then 'WRITE' else op end as event, g // 8 as n from bl
+  union all
+  select distinct connector, g * 10 + 9, case when g % 16 = 15 then 'QUERY' else 'XID' end, g // 8 from bl where g % 4 = 3
+  union all
+  select distinct c, g * 10 + place, 'TABLE_MAP', null
+  from bl, (values ('my-a'), ('my-b')) as a(c), (values (1), (2)) as b(place) where g % 70 = 0),
+start as (select min(g * 10 + 9) as first from bl where connector = 'my-b' and g % 4 = 3 and (g // 8) % 5 = 1)
+select l.connector, l.ord, l.event from log l, start s left join commits m on m.connector = l.connector and m.gno = l.n + 1
+where case when l.connector = 'my-b' then l.ord >= s.first else l.n is null or m.gno is null or m.gno % 7 = 0 end"""),
     "db_filter": _binlog("""
 select connector, db as database, tbl as "table", op, count(*) as n_rows from bl where db = 'financeiro' group by all"""),
     "redo_events": _redo("""
@@ -311,6 +351,9 @@ select 'cdc.dlq.ora-fin' as topic, 'ora-fin' as connector, 'statement not unders
   'merge into x using y on ''?''' as payload, k as ord from redo where op <> 'DDL' and not good"""),
     "obfuscate": _redo("""
 select scn, regexp_replace(sql_redo, '''(?:[^'']|'''')*''', '''?''', 'g') as masked from redo"""),
+    "obfuscate_numbers": """
+select o_orderkey, 'insert into T' || cast(o_orderkey % 10 as varchar) || '("C 1",SAL2,D) values (?, -?, DATE ''?'', ''?'') ?' ||
+  chr(10) || '?;' as masked from orders""",
     # transactions
     "commit_gate": _chlog(f"""
 select connector, tbl as "table", tx, op, ord, commit_ord, epoch_us(commit_ts) as commit_us,

@@ -11,11 +11,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.functions import gtid as gtids
 from tidemark.functions.images import delta, full_after, name_columns
 from tidemark.functions.offsets import offset_key, offset_value
 from tidemark.functions.identity import offset_map
 from tidemark.functions.redo import obfuscate_sql, parse_insert
-from tidemark.operators import filters, lake, metrics, positions, routing
+from tidemark.operators import filters, gtid, lake, metrics, positions, routing
 from tidemark.operators import transactions as tx
 from tidemark.operators.mysql import binlog_events, resolve as resolve_binlog
 from tidemark.operators.oracle import redo_events, redo_images, redo_rows
@@ -29,6 +30,8 @@ from tidemark.streaming import gate, incremental, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Server ids of the binlog with transaction ids.
+SERVER_A, SERVER_B = "0a000000-0000-0000-0000-00000000000a", "0b000000-0000-0000-0000-00000000000b"
 TAKEN_AT = "timestamp_micros(1704067200000000)"
 
 
@@ -320,6 +323,58 @@ def binlog_tx_header(spark: SparkSession, sf: str) -> DataFrame:
     return tx.attribute_commits(log).select("connector", "tx", "ord", "ordinal", "commit_ord")
 
 
+def _binlog_with_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The binlog as landed with transaction ids: numbers without gaps per connector, the
+    server changes every 50 transactions. Table maps have none."""
+    number = F.floor(F.col("ord") / 80).cast("bigint")
+    server = F.when(F.floor(number / 50) % 2 == 0, F.lit(SERVER_A)).otherwise(F.lit(SERVER_B))
+    found = F.concat_ws(":", server, (number + 1).cast("string"))
+    return fixtures.binlog(spark, sf).withColumn("gtid", F.when(F.col("event") != "TABLE_MAP", found))
+
+
+def _executed(binlog: DataFrame) -> DataFrame:
+    """Commits of all transactions but every seventh."""
+    return binlog.where(F.col("event").isin("XID", "QUERY") & (F.floor(F.col("ord") / 80) % 7 != 6))
+
+
+@query("binlog_tx_gtid")
+def binlog_tx_gtid(spark: SparkSession, sf: str) -> DataFrame:
+    names = catalogs.column_dictionary(fixtures.column_catalog(spark, sf))
+    rows = binlog_events(_binlog_with_ids(spark, sf), names, mode="landed").where(tx.is_data())
+    return rows.groupBy("connector", "tx").agg(F.count("*").alias("n_rows"), F.max("commit_ord").alias("commit_ord"))
+
+
+@query("gtid_offsets")
+def gtid_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    return gtid.gtid_offsets(_binlog_with_ids(spark, sf))
+
+
+@query("gtid_missing")
+def gtid_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions of the log that a replica lacks, and whether both make the whole again."""
+    log = _binlog_with_ids(spark, sf)
+    whole = gtid.gtid_offsets(log).select("connector", gtids.gtid_set(F.col("offset")).alias("a"))
+    some = gtid.gtid_sets(_executed(log), ["connector"]).withColumnRenamed("gtids", "b")
+    both = whole.join(some, "connector").withColumn("rest", gtids.gtid_subtract(F.col("a"), F.col("b")))
+    return both.select(
+        "connector", gtids.gtid_text(F.col("rest")).alias("missing"),
+        gtids.gtid_subset(F.col("b"), F.col("a")).alias("within"),
+        (gtids.gtid_text(gtids.gtid_union(F.col("rest"), F.col("b"))) == gtids.gtid_text(F.col("a"))).alias("whole"),
+    )
+
+
+@query("gtid_resume")
+def gtid_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """One connector has two stored sets with gaps, the other a file and position only."""
+    log = _binlog_with_ids(spark, sf)
+    half = (F.floor(F.col("ord") / 80) % 7 < 3).alias("half")
+    sets = gtid.gtid_sets(_executed(log).where(F.col("connector") == "my-a").select("connector", half, "gtid"), ["connector", "half"])
+    positions_ = log.where((F.col("connector") == "my-b") & (F.floor(F.col("ord") / 80) % 5 == 1) & F.col("event").isin("XID", "QUERY"))
+    legacy = positions_.groupBy("connector").agg(F.min_by(F.concat_ws(":", "file", F.col("pos").cast("string")), "ord").alias("offset"))
+    stored = sets.select("connector", gtids.gtid_text(F.col("gtids")).alias("offset")).unionByName(legacy)
+    return gtid.resume_binlog(log, stored).select("connector", "ord", "event")
+
+
 @query("db_filter")
 def db_filter(spark: SparkSession, sf: str) -> DataFrame:
     rows = _binlog_rows(spark, sf, "financeiro").where(tx.is_data())
@@ -444,6 +499,17 @@ def obfuscate(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.redo_log(spark, sf).select("scn", obfuscate_sql(F.col("sql_redo")).alias("masked"))
 
 
+@query("obfuscate_numbers")
+def obfuscate_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements with numbers, dates, national texts, comments and names that hold digits."""
+    stated = fixtures.table(spark, sf, "orders").select("o_orderkey", F.expr(
+        r"""concat('insert into T', cast(o_orderkey % 10 as string), '("C 1",SAL2,D) values (', cast(o_custkey as string),
+             ', -', cast(o_totalprice as string), ', DATE \'', cast(o_orderdate as string), '\', N\'it\'\'s ', o_orderpriority,
+             '\') -- it\'s ', cast(o_orderkey as string), '\n/* ', o_orderstatus, ' */;')"""
+    ).alias("sql"))
+    return stated.select("o_orderkey", obfuscate_sql(F.col("sql")).alias("masked"))
+
+
 # --- transactions -------------------------------------------------------------------
 
 

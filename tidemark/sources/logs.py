@@ -15,7 +15,8 @@ PG_SCHEMA = (
 BINLOG_SCHEMA = (
     "connector STRING, server_id BIGINT, ord BIGINT, file STRING, pos BIGINT, event STRING, "
     "header_ts TIMESTAMP, table_id BIGINT, db STRING, table STRING, sql STRING, "
-    "rows ARRAY<STRUCT<before: ARRAY<STRING>, after: ARRAY<STRING>>>, ingested_at TIMESTAMP"
+    "rows ARRAY<STRUCT<before: ARRAY<STRING>, after: ARRAY<STRING>>>, ingested_at TIMESTAMP, "
+    "gtid STRING"
 )
 REDO_SCHEMA = (
     "connector STRING, ord BIGINT, scn BIGINT, sql_redo STRING, operation STRING, table_name STRING, "
