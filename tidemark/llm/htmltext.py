@@ -29,18 +29,21 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.store import map_arrow, written
 
 MIN_PAGES, MIN_TOKENS = 3, 3  # support and size of a class that counts
-TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z))", re.S)
+# A quote opens a value only after an equals sign; elsewhere it is a character of the tag.
+TAG = re.compile(
+    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
+    r"((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+)(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 # Elements by what HTML makes of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe title svg math object".split())
+RAW = frozenset("script style noscript template textarea iframe title svg object".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 # A start tag that ends an open one.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = BLOCK - {"option", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dt", "dd", "html", "body"}
-BOILERPLATE = frozenset("head nav footer aside button select menu dialog label".split()) | RAW
+BOILERPLATE = frozenset("head nav footer aside button select menu dialog".split()) | RAW
 MAIN = frozenset(("article", "main"))
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion sidebar side "
@@ -49,6 +52,8 @@ BOILERPLATE_NAMES = frozenset(
     "navbar navigation footer header masthead topbar copyright widget widgets login signup search form complementary "
     "contentinfo dialog toolbar skip".split())
 MAIN_NAMES = frozenset("article main".split())
+# Elements that hold prose themselves: a part of their name does not make them boilerplate.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption code cite em strong b i q sub sup abbr mark".split())
 # Boxes of this kind hold articles of their own.
 TEASERS = frozenset("ad ads advert advertisement promo sponsor sponsored related recommended comment comments respond reply replies disqus".split())
 
@@ -170,9 +175,12 @@ def label(own: list[str], above: str, holds: bool, half: bool) -> str:
 
     A form, or a name of which only a part is of that kind, may be a wrapper: it is
     boilerplate unless it holds an article or half of the text. With a whole name, or the
-    name of a teaser box, it takes both. A header within an article is part of it."""
+    name of a teaser box, it takes both. Of prose elements only whole names and those of
+    teasers count. A header or label within an article is part of it."""
     tag, whole, parts = own[0], set(own[1:]), parts_of(own)
-    if above == "boilerplate" or tag in BOILERPLATE:
+    if tag in PROSE and not teaser(own):
+        parts = whole
+    if above == "boilerplate" or tag in BOILERPLATE or (tag == "label" and above != "main"):
         return "boilerplate"
     if tag in MAIN or whole & MAIN_NAMES or (half and parts & MAIN_NAMES):
         hidden = teaser(own) or (tag not in MAIN and whole & BOILERPLATE_NAMES)
