@@ -57,6 +57,23 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
+def anchor_places(hashes: np.ndarray, block: int = 1 << 24) -> np.ndarray:
+    """For each window the place of its least hash, by the upper bits, the first of equal ones.
+    Blocks of windows overlap by one window, so places within a block fit ``PLACE_BITS``
+    however long the text is."""
+    width = LENGTH - ANCHOR + 1
+    if block + width > 1 << PLACE_BITS:
+        raise ValueError("places of a block do not fit")
+    bits = U(PLACE_BITS)
+    found = [np.zeros(0, np.int64)]
+    for base in range(0, len(hashes) - width + 1, block):
+        part = hashes[base : base + block + width - 1]
+        order = (part >> bits << bits) | np.arange(len(part)).astype(U)
+        least = least_in_windows(order, width)
+        found.append((least & U((1 << PLACE_BITS) - 1)).astype(np.int64) + base)
+    return np.concatenate(found)
+
+
 class Slice:
     """Segments of the texts of one slice: anchor, name, first and last window."""
 
@@ -71,9 +88,7 @@ class Slice:
         self.sums = prefix_hash(data)
         starts = np.arange(n - ANCHOR + 1)
         hashes = range_hash(self.sums, starts, starts + ANCHOR)
-        order = (hashes >> U(PLACE_BITS) << U(PLACE_BITS)) | starts.astype(U)
-        least = least_in_windows(order, LENGTH - ANCHOR + 1)
-        place = (least & U((1 << PLACE_BITS) - 1)).astype(np.int64)
+        place = anchor_places(hashes)
         long = np.flatnonzero(np.diff(offsets) >= LENGTH)
         edge = np.zeros(n + 2, dtype=np.int32)
         np.add.at(edge, offsets[long], 1)
