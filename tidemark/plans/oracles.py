@@ -406,6 +406,14 @@ select connector, 'public' as "schema", tbl as "table", op, count(*) as events f
 , lags as (select connector, greatest(epoch_ms(ingested_at) - epoch_ms(ts), 0) as lag from everything)
 select connector, count(*) as events, cast(sum(lag) as bigint) as total_ms, max(lag) as max_ms,
   quantile_disc(lag, 0.5) as p50_ms, quantile_disc(lag, 0.99) as p99_ms from lags group by all"""),
+    "replication_lag_windows": _chlog("""
+, lags as (
+  select connector, date_trunc('day', ts) as day, greatest(epoch_ms(ingested_at) - epoch_ms(ts), 0) as lag from everything)
+select connector, epoch_us(day) as day_us, count(*) as events, cast(sum(lag) as bigint) as total_ms, max(lag) as max_ms,
+  quantile_disc(lag, 0.5) as p50_ms, quantile_disc(lag, 0.99) as p99_ms from lags group by all"""),
+    "events_processed_windows": _chlog("""
+select connector, 'public' as "schema", tbl as "table", op, epoch_us(date_trunc('hour', ts)) as hour_us, count(*) as events
+from chlog group by all"""),
     "buffer_size": _chlog("""
 select connector, count(*) filter (where commit_ord is null) as buffered from attributed group by all"""),
     "buffer_timeline": _chlog("""

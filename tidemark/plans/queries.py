@@ -25,7 +25,7 @@ from tidemark.plans import fixtures
 from tidemark.plans.normalise import normalise, publishable
 from tidemark.schema import LOG_SCHEMA, TOAST_SENTINEL, from_event, to_event, with_event_id
 from tidemark.sources import catalogs, connectors, logs, manifest, snapshots
-from tidemark.streaming import gate, incremental, sinks
+from tidemark.streaming import gate, incremental, rollups, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -745,6 +745,34 @@ def events_processed_stream(spark: SparkSession, sf: str) -> DataFrame:
     return kept.groupBy("connector", "schema", "table", "op").agg(F.sum("events").alias("events"))
 
 
+def _parts(spark: SparkSession, sf: str, name: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Parts of the change log as it comes in five batches, each with rows of all times."""
+    base = sinks.scratch_dir(spark, name)
+    fixtures.change_log(spark, sf).drop("pk").repartition(5, "ord").write.option("maxRecordsPerFile", 0).parquet(f"{base}/landed")
+    log = logs.stream_change_log(spark, f"{base}/landed", "log", max_files=1)
+    rollups.write_parts(log, {name: of}, f"{base}/parts", f"{base}/checkpoint").awaitTermination()
+    return rollups.read_parts(spark, f"{base}/parts", name)
+
+
+@query("replication_lag_windows")
+def replication_lag_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Lag per connector and day, merged from sketches per batch and hour."""
+    parts = _parts(spark, sf, "lags", rollups.lag_parts)
+    day = F.window("window_start", "1 day")["start"].alias("day")
+    return rollups.merge_lags(parts, ["connector", day]).select(
+        "connector", us("day").alias("day_us"), "events", "total_ms", "max_ms",
+        rollups.lag_quantile(0.5).alias("p50_ms"), rollups.lag_quantile(0.99).alias("p99_ms"),
+    )
+
+
+@query("events_processed_windows")
+def events_processed_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts per hour from parts of batches, with no state between them."""
+    parts = _parts(spark, sf, "counts", rollups.count_parts)
+    counts = rollups.merge_counts(parts, ["connector", "schema", "table", "op", "window_start"])
+    return counts.withColumn("hour_us", us("window_start")).drop("window_start")
+
+
 # --- lake ---------------------------------------------------------------------------
 
 
