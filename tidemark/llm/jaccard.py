@@ -201,30 +201,22 @@ def _linked(scratch: Scratch, pairs: DataFrame, keyed: DataFrame, classes: DataF
     keys = scratch.write(needed.join(classes, "sig").select("row_key", "sig"), "jaccard-needed")
     # A key has 16 bytes. Beyond the bound, the join shuffles the texts instead.
     side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    # Rows repeated with id and text have one key; the joins with the pairs would multiply them.
-    texts = keyed.select("row_key", "text").join(side, "row_key").dropDuplicates(["row_key"])
-
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [values.tobytes() for _, values in sets_of(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["sig", "grams"])
-
-    sets = scratch.hold(written(map_arrow(texts.select("sig", "text"), to_sets, "sig long, grams binary"), "jaccard-sets"))
-    scratch.drop(keys)
-    both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("grams").alias("grams_a")), "a").join(
-        sets.select(F.col("sig").alias("b"), F.col("grams").alias("grams_b")), "b")
+    # The texts meet, not their sets: these would take twice the bytes. They are shuffled by
+    # set once for both joins; rows repeated with id and text are one there.
+    texts = keyed.select("row_key", "text").join(side, "row_key").select("sig", "text").dropDuplicates(["sig"])
+    both = pairs.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("text_a")), "a").join(
+        texts.select(F.col("sig").alias("b"), F.col("text").alias("text_b")), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), dtype=U), np.frombuffer(y.as_buffer(), dtype=U)
+            for (_, x), (_, y) in zip(sets_of(batch.column(2), k), sets_of(batch.column(3), k)):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    links = scratch.write(map_arrow(both.select("a", "b", "grams_a", "grams_b"), compare, "a long, b long").distinct(), "jaccard-links")
-    scratch.drop(pairs, sets)
+    links = scratch.write(map_arrow(both.select("a", "b", "text_a", "text_b"), compare, "a long, b long").distinct(), "jaccard-links")
+    scratch.drop(pairs, keys)
     return links
 
 
