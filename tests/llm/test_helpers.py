@@ -117,3 +117,17 @@ def test_template_takes_ordered_nested_classes():
     assert deduced([*pages, [*frame[:2], *item * 4, "/h/a/i/y", "/h/a/i", "/h/a/i/x", frame[2]]]) == frame  # out of order
     assert deduced([*pages, [*frame, *item * 4]]) == frame  # in another gap
     assert deduced([*pages, [*frame[:2], *item * 4, *item[:1], frame[2], *item[1:]]]) == frame  # across
+
+
+def test_tallies_never_exceed_the_difference_of_sets():
+    from tidemark.llm.jaccard import tallies, tallies_apart
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 40, 1000, 5000, 40_000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for gone in (0, n // 20, n // 3, n):
+            x, y = np.unique(base), np.unique(np.concatenate([base[gone:], rng.integers(0, 2**63, gone + n // 9, dtype=np.uint64)]))
+            apart = tallies_apart(tallies(x), tallies(y))
+            assert apart == tallies_apart(tallies(y), tallies(x)) <= len(np.setxor1d(x, y))
+    long, other = (rng.integers(0, 2**63, 30_000, dtype=np.uint64) for _ in range(2))
+    assert tallies_apart(tallies(long), tallies(other)) > 10_000  # unlike sets are told apart at any length

@@ -14,8 +14,9 @@ sizes alone keep the product small and lose no link:
   no more slots than the sets do in n-grams; pairs further apart get no row;
 * the n-grams met so far and those left behind the last one must suffice for the threshold.
 
-What passes is compared exactly. Equal sets are one row. Families of near copies are joined
-to one member first; only pairs of sets that are not yet connected are multiplied afterwards.
+What passes is bounded once more, by tallies of all hashes in slots, and then compared exactly.
+Equal sets are one row. Families of near copies are joined to one member first; only pairs of
+sets that are not yet connected are multiplied afterwards.
 """
 
 from __future__ import annotations
@@ -63,6 +64,21 @@ def parities(values: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(slots, minlength=64 * PARITIES) & 1).astype(np.uint8)).view(np.int64)
 
 
+def tallies(values: np.ndarray) -> np.ndarray:
+    """How many hashes of a set fall in each slot, modulo 256. A slot takes up to four on
+    average, so longer sets have more slots, and no length is too long to tell sets apart."""
+    slots = 1 << max(8, (max(len(values), 1) // 4).bit_length())
+    return np.bincount((values & U(slots - 1)).astype(np.int64), minlength=slots).astype(np.uint8)
+
+
+def tallies_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """At most as much as the number of hashes that only one of two sets has."""
+    if len(x) > len(y):
+        x, y = y, x
+    gap = x - y.reshape(-1, len(x)).sum(axis=0, dtype=np.uint8)
+    return int(np.minimum(gap, -gap).sum(dtype=np.int64))
+
+
 def _batch(columns: list, names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
@@ -195,17 +211,39 @@ def _product(open_rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _linked(scratch: Scratch, pairs: DataFrame, keyed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose whole sets are similar enough, written."""
+    """Those of the pairs (a, b) whose whole sets are similar enough, written.
+
+    Tallies of whole sets, a tenth of the bytes of a text, rule out most pairs of long sets, for
+    which parities say nothing; the texts of the others meet and are compared exactly."""
     pairs = scratch.write(pairs.select("a", "b"), "jaccard-pairs")
-    needed = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
-    keys = scratch.write(needed.join(classes, "sig").select("row_key", "sig"), "jaccard-needed")
-    # A key has 16 bytes. Beyond the bound, the join shuffles the texts instead.
-    side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    # The texts meet, not their sets: these would take twice the bytes. They are shuffled by
-    # set once for both joins; rows repeated with id and text are one there.
-    texts = keyed.select("row_key", "text").join(side, "row_key").select("sig", "text").dropDuplicates(["sig"])
-    both = pairs.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("sig").alias("b"), F.col("text").alias("text_b")), "b")
+    keys = scratch.write(_ends(pairs).join(classes, "sig").select("row_key", "sig"), "jaccard-needed")
+
+    def to_tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, out = np.zeros(len(batch), np.int64), [b""] * len(batch)
+            for row, values in sets_of(batch.column(1), k):
+                sizes[row], out[row] = len(values), tallies(values).tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(out, pa.binary())], names=["sig", "n", "tallies"])
+
+    # Rows repeated with id and text have one key; the joins with the pairs would multiply them.
+    known = map_arrow(_texts_of(keyed, keys), to_tallies, "sig long, n long, tallies binary").dropDuplicates(["sig"])
+    sets = scratch.hold(written(known, "jaccard-sets"))
+    both = pairs.join(sets.toDF("a", "n_a", "tallies_a"), "a").join(sets.toDF("b", "n_b", "tallies_b"), "b")
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            allowed = n - 2 * (-(-percent * n // (100 + percent)))
+            apart = [tallies_apart(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) for x, y in zip(batch.column(4), batch.column(5))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(np.array(apart, np.int64) <= allowed))
+
+    near = scratch.write(map_arrow(both.select("a", "b", "n_a", "n_b", "tallies_a", "tallies_b"), possible, "a long, b long"), "jaccard-near")
+    scratch.drop(pairs, sets)
+    few = scratch.write(keys.join(_ends(near), "sig").select("row_key", "sig"), "jaccard-compared")
+    scratch.drop(keys)
+    # Shuffled by set once for both joins.
+    texts = _texts_of(keyed, few).dropDuplicates(["sig"])
+    both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,10 +254,22 @@ def _linked(scratch: Scratch, pairs: DataFrame, keyed: DataFrame, classes: DataF
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     links = scratch.write(map_arrow(both.select("a", "b", "text_a", "text_b"), compare, "a long, b long").distinct(), "jaccard-links")
-    scratch.drop(pairs, keys)
+    scratch.drop(near, few)
     return links
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """Sets of the pairs (a, b), each once."""
+    return pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+
+
+def _texts_of(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """(sig, text) of the rows whose key is among the keys. A key has 16 bytes; beyond the
+    bound, the join shuffles the texts instead."""
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    return keyed.select("row_key", "text").join(side, "row_key").select("sig", "text")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(sig, component): least name reachable, for every end of an edge (a, b). Labels spread
     to neighbours and along labels, so chains halve in each round."""
