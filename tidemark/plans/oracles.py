@@ -438,6 +438,9 @@ select connector, ord, pk, cast(new_cents as integer) as cents, cast(null as int
   cast(1 as integer) as cast_failures from chlog where op <> 'DELETE'"""),
     "current_state": _chlog(f"""
 select tbl as "table", pk, op, connector, ord, commit_ord, new_cents as cents, new_props as props
+from {_STATE} where rn = 1 and op <> 'DELETE'"""),
+    "current_state_stream": _chlog(f"""
+select tbl as "table", pk, op, connector, ord, commit_ord, new_cents as cents, new_props as props
 from {_STATE} where rn = 1 and op <> 'DELETE'"""),
     "full_after": _redo("""
 select k as ord, cast(5 as integer) as n, cast(k as varchar) as key, 'F' as status, o_orderpriority as priority

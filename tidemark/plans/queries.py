@@ -25,7 +25,7 @@ from tidemark.plans import fixtures
 from tidemark.plans.normalise import normalise, publishable
 from tidemark.schema import LOG_SCHEMA, TOAST_SENTINEL, from_event, to_event, with_event_id
 from tidemark.sources import catalogs, connectors, logs, manifest, snapshots
-from tidemark.streaming import gate, incremental, rollups, sinks
+from tidemark.streaming import gate, incremental, rollups, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -625,8 +625,8 @@ def published_batches(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{base}/committed").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/committed")
     sinks.publish_batches(stream, f"{base}/out", f"{base}/checkpoint", pk=["connector", "table", "pk"]).awaitTermination()
-    state = sinks.read_latest(spark, f"{base}/out", ["connector", "table", "pk"])
-    return state.select("connector", "table", "pk", "op", "ord", item("after", "cents").alias("cents"))
+    latest = sinks.read_latest(spark, f"{base}/out", ["connector", "table", "pk"])
+    return latest.select("connector", "table", "pk", "op", "ord", item("after", "cents").alias("cents"))
 
 
 # --- offsets ------------------------------------------------------------------------
@@ -798,6 +798,23 @@ def current_state(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("current_state_stream")
+def current_state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The state as five batches of committed rows leave it, one of which comes late."""
+    base = sinks.scratch_dir(spark, "state")
+    tx.commit_gate(fixtures.change_log(spark, sf)).write.parquet(f"{base}/whole")
+    whole = spark.read.parquet(f"{base}/whole")
+    end = (whole.agg(F.max("ord")).first()[0] or 0) + 1
+    for piece in ARRIVAL:
+        whole.where(F.floor(F.col("ord") * len(ARRIVAL) / end) == piece).write.mode("append").parquet(f"{base}/landed")
+        rows = spark.readStream.schema(whole.schema).parquet(f"{base}/landed")
+        state.keep_state(rows, f"{base}/out", f"{base}/checkpoint", ["connector", "table", "pk"], buckets=16).awaitTermination()
+    return state.read_state(spark, f"{base}/out").select(
+        "table", "pk", "op", "connector", "ord", "commit_ord", item("after", "cents").alias("cents"),
+        item("after", "props").alias("props"),
+    )
+
+
 @query("full_after")
 def full_after_images(spark: SparkSession, sf: str) -> DataFrame:
     rows = _redo(spark, sf).where((F.col("op") == "UPDATE") & F.col("reason").isNull())
