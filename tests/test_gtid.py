@@ -1,6 +1,7 @@
 """Sets of transaction ids against Python sets."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -122,3 +123,28 @@ def test_resumed_rows_keep_their_transactions(spark):
         return {(r["ord"], r["tx"], r["commit_ord"]) for r in found.collect()}
 
     assert rows(resume_binlog(log, stored)) == {r for r in rows(log) if r[0] in (41, 61)}
+
+
+MANY = 60_000
+
+
+def many_gaps(spark):
+    """Stored sets of odd numbers and of every third, as texts."""
+    def text(step):
+        numbers = F.sequence(F.lit(1), F.lit(MANY), F.lit(step)).cast("array<string>")
+        return F.concat(F.lit(f"{A}:"), F.array_join(numbers, ":"))
+
+    stored = spark.range(1).select(F.lit("m").alias("connector"), text(2).alias("odd"), text(3).alias("third"))
+    return stored, set(range(1, MANY + 1, 2)), set(range(1, MANY + 1, 3))
+
+
+def test_sets_of_many_intervals(spark):
+    """These took time with the square of the number of intervals."""
+    began = time.monotonic()
+    stored, left, right = many_gaps(spark)
+    sets = stored.select(ids.gtid_set("odd").alias("a"), ids.gtid_set("third").alias("b"))
+    rest, union = ids.gtid_subtract(F.col("a"), F.col("b")), ids.gtid_union(F.col("a"), F.col("b"))
+    row = sets.select(F.size(rest[A]).alias("rest"), F.transform(union[A], lambda i: i["hi"] - i["lo"] + 1).alias("union")).first()
+    assert row["rest"] == len(left - right)
+    assert sum(row["union"]) == len(left | right)
+    assert time.monotonic() - began < 60

@@ -13,6 +13,7 @@ from tidemark.functions.binding import let
 
 SET_TYPE = "map<string, array<struct<lo: bigint, hi: bigint>>>"
 _INTERVALS = "array<struct<lo: bigint, hi: bigint>>"
+_LEAST, _GREATEST = -(1 << 63), (1 << 63) - 1
 _SERVER = "[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
 _NUMBER = "0*+[1-9][0-9]{0,17}+"
 _PART = f"{_SERVER}(?::{_NUMBER}(?:-{_NUMBER})?+)++"
@@ -29,20 +30,25 @@ def _within(number: Column, intervals: Column) -> Column:
 def runs(starts: Column, ends: Column) -> Column:
     """Intervals of two arrays of as many bounds, in any order."""
     return F.zip_with(
-        F.array_sort(starts), F.array_sort(ends), lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+        F.sort_array(starts), F.sort_array(ends), lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
     )
 
 
+def _sorted_bounds(intervals: Column) -> Column:
+    """All starts and all ends, each sorted on its own."""
+    return F.struct(F.sort_array(_bounds(intervals, "lo")).alias("lo"), F.sort_array(_bounds(intervals, "hi")).alias("hi"))
+
+
 def _bounds(intervals: Column, field: str) -> Column:
     return F.transform(intervals, lambda i: i[field])
 
 
 def merged(intervals: Column) -> Column:
-    """Intervals that may overlap → sorted, joined ones. A run starts where its predecessor
-    is in none of them."""
-    return let(intervals, lambda iv: runs(
-        F.array_distinct(F.filter(_bounds(iv, "lo"), lambda x: ~_within(x - 1, iv))),
-        F.array_distinct(F.filter(_bounds(iv, "hi"), lambda x: ~_within(x + 1, iv))),
+    """Intervals that may overlap → sorted, joined ones. With starts and ends sorted each on its
+    own, a run ends at an end that lies apart from the start after it."""
+    return let(_sorted_bounds(intervals), lambda b: runs(
+        F.filter(b["lo"], lambda x, i: F.coalesce(x > F.get(b["hi"], i - 1) + 1, F.lit(True))),
+        F.filter(b["hi"], lambda x, i: F.coalesce(F.get(b["lo"], i + 1) > x + 1, F.lit(True))),
     ))
 
 
@@ -127,20 +133,26 @@ def gtid_union(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), _of_parts(F.concat(_entries(a), _entries(b))))
 
 
+def _gaps(intervals: Column) -> Column:
+    """What lies before, between and after the intervals of a set."""
+    starts = F.concat(F.array(F.lit(_LEAST)), F.transform(intervals, lambda i: i["hi"] + 1))
+    ends = F.concat(F.transform(intervals, lambda i: i["lo"] - 1), F.array(F.lit(_GREATEST)))
+    return F.zip_with(starts, ends, lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")))
+
+
+def _common(a: Column, b: Column) -> Column:
+    """Numbers in the intervals of both, each without overlaps. As no number is in three of them,
+    a common run goes from each start that is not after the end one place before."""
+    return let(_sorted_bounds(F.concat(a, b)), lambda s: F.filter(
+        F.transform(s["lo"], lambda x, i: F.struct(x.alias("lo"), F.get(s["hi"], i - 1).alias("hi"))),
+        lambda r: r["lo"] <= r["hi"],
+    ))
+
+
 def gtid_subtract(a: Column, b: Column) -> Column:
-    """Ids of ``a`` that are not in ``b``; null if one is null. A run of the rest starts at a
-    start of ``a`` outside ``b`` or right after an interval of ``b``, and ends likewise."""
+    """Ids of ``a`` that are not in ``b``; null if one is null."""
     def rest(server: Column, iv: Column) -> Column:
-        out = F.coalesce(F.try_element_at(b, server), _none())
-        starts = F.array_union(
-            F.filter(_bounds(iv, "lo"), lambda x: ~_within(x, out)),
-            F.filter(F.transform(out, lambda i: i["hi"] + 1), lambda x: _within(x, iv)),
-        )
-        ends = F.array_union(
-            F.filter(_bounds(iv, "hi"), lambda x: ~_within(x, out)),
-            F.filter(F.transform(out, lambda i: i["lo"] - 1), lambda x: _within(x, iv)),
-        )
-        return runs(starts, ends)
+        return _common(iv, _gaps(F.coalesce(F.try_element_at(b, server), _none())))
 
     return F.when(a.isNotNull() & b.isNotNull(), _without_empty(F.transform_values(a, rest)))
 
