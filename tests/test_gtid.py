@@ -148,3 +148,24 @@ def test_sets_of_many_intervals(spark):
     assert row["rest"] == len(left - right)
     assert sum(row["union"]) == len(left | right)
     assert time.monotonic() - began < 60
+
+
+def test_resume_by_many_intervals(spark):
+    """Every row searched the whole set."""
+    began = time.monotonic()
+    stored, left, right = many_gaps(spark)
+    log = spark.range(1, MANY + 1).select(
+        F.lit("m").alias("connector"), F.col("id").alias("ord"), F.lit("f.000001").alias("file"), (F.col("id") * 10).alias("pos"),
+        F.concat(F.lit(f"{A}:"), F.col("id").cast("string")).alias("gtid"))
+    offsets = stored.select("connector", F.explode(F.array("odd", "third")).alias("offset"))
+    kept = {r["ord"] for r in resume_binlog(log, offsets).select("ord").collect()}
+    assert kept == set(range(1, MANY + 1)) - left - right
+    assert time.monotonic() - began < 60
+
+
+def test_resume_keeps_repeats_and_rows_without_connector(spark):
+    log = frame(spark, [(1, "WRITE", {"gtid": f"{A}:1"}), (2, "WRITE", {"gtid": f"{A}:4"}), (3, "WRITE", {"gtid": "?"})])
+    log = log.union(log).union(log.withColumn("connector", F.lit(None).cast("string")))
+    stored = spark.createDataFrame([("m", f"{A}:1-2"), ("m", f"{A}:2-3"), (None, f"{A}:1-9")], "connector STRING, offset STRING")
+    found = sorted((r["connector"] or "", r["ord"]) for r in resume_binlog(log, stored).collect())
+    assert found == [("", 1), ("", 2), ("", 3), ("m", 2), ("m", 2), ("m", 3), ("m", 3)]

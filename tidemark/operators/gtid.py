@@ -13,9 +13,11 @@ from tidemark.functions import gtid as ids
 from tidemark.functions.offsets import offset_key
 from tidemark.operators.joins import side_join
 from tidemark.operators.mysql import binlog_position, is_commit
+from tidemark.operators.ordered import Carry, carry
 from tidemark.operators.positions import usable_offsets
 
 BIN_BITS = 12  # numbers collected together
+ID = ["connector", "__server", "__number"]
 
 
 def gtid_sets(rows: DataFrame, keys: list[str], column: str = "gtid") -> DataFrame:
@@ -52,18 +54,34 @@ def resume_binlog(binlog: DataFrame, offsets: DataFrame) -> DataFrame:
         ids.gtid_set(F.col("offset")).alias("gtids"),
         offset_key(F.lit("mysql"), F.col("offset")).alias("__start"),
     )
-    starts = parsed.groupBy("connector").agg(F.max("__start").alias("__start"))
-    # Stored sets are unions of intervals, so they are joined by server, not by number.
-    servers = parsed.select("connector", F.explode("gtids").alias("__server", "__iv")).groupBy("connector", "__server").agg(
-        ids.merged(F.flatten(F.collect_set("__iv"))).alias("__iv")
-    )
-    executed = servers.groupBy("connector").agg(
-        F.map_from_entries(F.collect_list(F.struct("__server", "__iv"))).alias("__gtids")
-    )
-    stored = starts.join(executed, "connector", "left")
-    rows = side_join(binlog, stored, ["connector"], "left")
+    has_set = F.coalesce(F.max(F.size(F.map_keys("gtids")) > 0), F.lit(False))
+    starts = parsed.groupBy("connector").agg(F.max("__start").alias("__start"), has_set.alias("__has_set"))
+    starts = starts.where(~F.col("__has_set")).drop("__has_set")
+
+    found = ids.gtid_parts(F.col("gtid"))
+    placed = binlog.withColumns({"__server": found["server"], "__number": found["number"]})
+    rest = side_join(placed, _executed(placed.select(*ID), parsed), ID, "left_anti")
+    rows = side_join(rest, starts, ["connector"], "left")
     here = offset_key(F.lit("mysql"), binlog_position())
-    read = F.when(
-        F.col("__gtids").isNotNull(), ids.gtid_has(F.col("__gtids"), ids.gtid_parts(F.col("gtid")))
-    ).otherwise(here < F.col("__start"))
-    return rows.where(~F.coalesce(read, F.lit(False))).select(*[binlog[c] for c in binlog.columns])
+    return rows.where(~F.coalesce(here < F.col("__start"), F.lit(False))).select(*binlog.columns)
+
+
+def _executed(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Ids of rows that are in a stored set of their connector.
+
+    Sets may have as many intervals as the log has transactions, so no row searches a set:
+    each interval is a step up at its start and one down after its end, and a running sum
+    over the numbers tells how many intervals an id is in."""
+    parts = stored.select("connector", F.explode("gtids").alias("__server", "__iv"))
+    bounds = parts.select("connector", "__server", F.inline("__iv")).select(
+        "connector", "__server",
+        F.inline(F.array(
+            F.struct(F.col("lo").alias("__number"), F.lit(1).cast("bigint").alias("__step")),
+            F.struct((F.col("hi") + 1).alias("__number"), F.lit(-1).cast("bigint").alias("__step")),
+        )),
+    )
+    steps = bounds.groupBy(*ID).agg(F.sum("__step").alias("__step"))
+    known = rows.where(F.col("__number").isNotNull()).distinct()
+    together = steps.unionByName(known, allowMissingColumns=True).withColumn("__is_id", F.col("__step").isNull())
+    within = carry(together, ID[:2], ["__number", "__is_id"], [Carry("__depth", F.col("__step"), total=True)])
+    return within.where(F.col("__is_id") & (F.col("__depth") > 0)).select(*ID)
