@@ -47,7 +47,8 @@ class _State:
 
     def _paths(self, schema, paths: list[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            # The planner knows that nothing is in it, so joins with it shuffle nothing.
+            return self.spark.createDataFrame([], schema).limit(0)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def _read(self, name: str, schema) -> DataFrame:
