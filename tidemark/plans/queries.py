@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions import gtid as gtids
 from tidemark.functions.images import delta, full_after, name_columns
@@ -526,6 +527,15 @@ def commit_gate(spark: SparkSession, sf: str) -> DataFrame:
 ARRIVAL = (0, 1, 3, 2, 4)
 
 
+def _pieces(rows: DataFrame, piece: str | Column, path: str) -> Callable[[int], DataFrame]:
+    """Write rows once in folders by ``piece``; gives the rows of a piece, read from its folder
+    only. Rows without a piece are in none."""
+    rows.withColumn("__piece", F.col(piece) if isinstance(piece, str) else piece).write.partitionBy("__piece").parquet(path)
+    schema = StructType([*rows.schema.fields, StructField("__piece", LongType())])
+    split = rows.sparkSession.read.schema(schema).parquet(path)
+    return lambda n: split.where(F.col("__piece") == n).drop("__piece")
+
+
 def _gated(spark: SparkSession, sf: str) -> str:
     """Publish the committed rows of a log that lands in five pieces, out of order, with the
     settings that callers get; the folder of the outputs."""
@@ -533,8 +543,9 @@ def _gated(spark: SparkSession, sf: str) -> str:
     fixtures.change_log(spark, sf).drop("pk").write.parquet(f"{base}/whole")
     whole = spark.read.schema(LOG_SCHEMA).parquet(f"{base}/whole")
     end = (whole.agg(F.max("ord")).first()[0] or 0) + 1
+    piece_of = _pieces(whole, F.floor(F.col("ord") * len(ARRIVAL) / end), f"{base}/pieces")
     for piece in ARRIVAL:
-        whole.where(F.floor(F.col("ord") * len(ARRIVAL) / end) == piece).write.mode("append").parquet(f"{base}/landed")
+        piece_of(piece).write.mode("append").parquet(f"{base}/landed")
         log = logs.stream_change_log(spark, f"{base}/landed", "log")
         gate.publish_committed(log, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return f"{base}/out"
@@ -748,9 +759,12 @@ def events_processed_stream(spark: SparkSession, sf: str) -> DataFrame:
 def _parts(spark: SparkSession, sf: str, name: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Parts of the change log as it comes in five batches, each with rows of all times."""
     base = sinks.scratch_dir(spark, name)
-    fixtures.change_log(spark, sf).drop("pk").repartition(5, "ord").write.option("maxRecordsPerFile", 0).parquet(f"{base}/landed")
-    log = logs.stream_change_log(spark, f"{base}/landed", "log", max_files=1)
-    rollups.write_parts(log, {name: of}, f"{base}/parts", f"{base}/checkpoint").awaitTermination()
+    log = fixtures.change_log(spark, sf).drop("pk")
+    piece_of = _pieces(log, F.pmod(F.hash("ord"), F.lit(STREAM_BATCHES)).cast("bigint"), f"{base}/pieces")
+    for piece in range(STREAM_BATCHES):
+        piece_of(piece).write.mode("append").parquet(f"{base}/landed")
+        stream = logs.stream_change_log(spark, f"{base}/landed", "log")
+        rollups.write_parts(stream, {name: of}, f"{base}/parts", f"{base}/checkpoint").awaitTermination()
     return rollups.read_parts(spark, f"{base}/parts", name)
 
 
@@ -895,8 +909,9 @@ def _raw_stream(spark: SparkSession, landed: DataFrame, kind: str, **settings) -
     landed.write.parquet(f"{base}/whole")
     whole = spark.read.schema(landed.schema).parquet(f"{base}/whole")
     end = (whole.agg(F.max("ord")).first()[0] or 0) + 1
+    piece_of = _pieces(whole, F.floor(F.col("ord") * STREAM_BATCHES / end), f"{base}/pieces")
     for piece in range(STREAM_BATCHES):
-        whole.where(F.floor(F.col("ord") * STREAM_BATCHES / end) == piece).write.mode("append").parquet(f"{base}/landed")
+        piece_of(piece).write.mode("append").parquet(f"{base}/landed")
         stream = logs.stream_change_log(spark, f"{base}/landed", kind)
         incremental.publish_raw(stream, kind, f"{base}/out", f"{base}/checkpoint", **settings).awaitTermination()
     return f"{base}/out"
@@ -912,7 +927,10 @@ def postgres_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("mysql_stream")
 def mysql_stream(spark: SparkSession, sf: str) -> DataFrame:
-    names = catalogs.column_dictionary(fixtures.column_catalog(spark, sf))
+    # Stored, as every batch reads it.
+    stored = sinks.scratch_dir(spark, "names") + "/names"
+    catalogs.column_dictionary(fixtures.column_catalog(spark, sf)).write.parquet(stored)
+    names = spark.read.parquet(stored)
     rows = spark.read.parquet(_raw_stream(spark, fixtures.binlog(spark, sf), "mysql", dictionary=names, database="financeiro") + "/events")
     return rows.groupBy("topic", "op").agg(
         F.count("*").alias("events"), F.min("ord").alias("first_ord"), F.max("commit_ord").alias("last_commit")
@@ -953,14 +971,15 @@ def _mined(spark: SparkSession, sf: str) -> str:
     before, as mining does that goes on from there; after the last, the first comes again."""
     base = sinks.scratch_dir(spark, "redo")
     columns = [c.split()[0] for c in logs.LANDED_SCHEMAS["oracle"].split(", ")]
-    _repeated_redo(spark, sf).select(*columns).write.parquet(f"{base}/whole")
-    whole = spark.read.parquet(f"{base}/whole")
-    end = (whole.agg(F.max("scn")).first()[0] or 0) + 1
+    log = _repeated_redo(spark, sf).select(*columns)
+    end = (log.agg(F.max("scn")).first()[0] or 0) + 1
     piece = F.floor(F.col("scn") * STREAM_BATCHES / end)
-    last = {r["piece"]: r["scn"] for r in whole.groupBy(piece.alias("piece")).agg(F.max("scn").alias("scn")).collect()}
+    last = [r["scn"] for r in log.groupBy(piece.alias("piece")).agg(F.max("scn").alias("scn")).collect()]
+    # The rows of a piece's last position are in the next piece, too.
+    placed = log.withColumn("__n", F.explode(F.when(F.col("scn").isin(last), F.array(piece, piece + 1)).otherwise(F.array(piece))))
+    piece_of = _pieces(placed, "__n", f"{base}/pieces")
     for n in [*range(STREAM_BATCHES), 0]:
-        rows = whole.where((piece == n) | (F.col("scn") == F.lit(last.get(n - 1)).cast("bigint")))
-        rows.write.mode("append").parquet(f"{base}/landed")
+        piece_of(n).select(*columns).write.mode("append").parquet(f"{base}/landed")
         stream = logs.stream_change_log(spark, f"{base}/landed", "oracle")
         incremental.publish_redo(stream, f"{base}/out", f"{base}/checkpoint", "FIN", 100, "ORCLPDB1").awaitTermination()
     return f"{base}/out"
