@@ -182,19 +182,21 @@ def publish_redo(stream: DataFrame, path: str, checkpoint: str, owner: str, star
             rows, late = placed.where(~below).select(*mine.columns), placed.where(below).select(*mine.columns)
         fresh = _first_seen(rows, seen)
         fresh.persist()
-        published, _, dead = publishable(redo_events(fresh, container, literal_parity).withColumnRenamed("sql_redo", "raw"))
+        parsed = redo_events(fresh, container, literal_parity).withColumnRenamed("sql_redo", "raw").persist()
+        published, _, dead = publishable(parsed)
         write_lake(published, f"{path}/events/{here}", mode="overwrite")
         dead.write.mode("overwrite").parquet(f"{path}/dead_letters/{here}")
         late.write.mode("overwrite").parquet(f"{path}/late/{here}")
         prints = fresh.select(*FINGERPRINT)
         prints = prints if seen is None else prints.unionByName(seen)
         newest = prints.groupBy("connector").agg(F.max("scn").alias("__newest"))
-        side_join(prints, newest, ["connector"], "inner").where(F.col("scn") == F.col("__newest")).select(*FINGERPRINT).write.mode(
+        side_join(prints, F.broadcast(newest), ["connector"], "inner").where(F.col("scn") == F.col("__newest")).select(*FINGERPRINT).write.mode(
             "overwrite").parquet(f"{path}/seen/{here}")
         fresh.unpersist()
         mine.unpersist()
 
     return (
+        parsed.unpersist()
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
