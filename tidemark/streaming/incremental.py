@@ -23,7 +23,7 @@ from tidemark.operators.joins import side_join
 from tidemark.operators.mysql import is_commit
 from tidemark.operators.oracle import redo_events
 from tidemark.operators.postgres import RELATION
-from tidemark.operators.transactions import attribute_commits, uncommitted
+from tidemark.operators.transactions import attribute_commits, is_data, uncommitted
 from tidemark.plans.normalise import normalise, publishable
 from tidemark.streaming.sinks import write_lake
 
@@ -35,7 +35,8 @@ def _is_pg(kind: str) -> Column:
 def _open_tail(raw: DataFrame, commit: Column, definition: Column, definition_id: Column) -> DataFrame:
     """Rows after the last commit of their connector, and the latest definition of each id."""
     last = raw.where(commit).groupBy("connector").agg(F.max("ord").alias("__last"))
-    tail = side_join(raw, last, ["connector"], "left").where(
+    # A row per connector, so the rows need no shuffle.
+    tail = side_join(raw, F.broadcast(last), ["connector"], "left").where(
         F.col("__last").isNull() | (F.col("ord") > F.col("__last"))
     )
     newest = (
@@ -114,6 +115,8 @@ def publish_raw(stream: DataFrame, kind: str, path: str, checkpoint: str, **sett
             late.write.mode("overwrite").parquet(f"{path}/late/{here}")
         raw = batch if pending is None else batch.unionByName(pending)
         raw.persist()
+        pending_rows(kind, raw).write.mode("overwrite").parquet(f"{path}/pending/{here}")
+        rows = raw
         if kind == "log":
             committed = attribute_commits(raw).where(F.col("commit_ord").isNotNull())
         else:
@@ -126,17 +129,18 @@ def publish_raw(stream: DataFrame, kind: str, path: str, checkpoint: str, **sett
                 total.groupBy("connector").agg(F.sum("commits").alias("commits")).write.mode("overwrite").parquet(
                     f"{path}/commits/{here}"
                 )
+            rows = rows.where(is_data() | F.col("reason").isNotNull()).persist()
             committed, waiting, dead = publishable(rows)
             # A row that is still pending is reported once, when its transaction is closed
             # or a commit of the connector shows that it never will be.
-            keep = pending_rows(kind, raw).select("connector", "ord")
+            keep = spark.read.schema(raw.schema).parquet(f"{path}/pending/{here}").select("connector", "ord")
             for name, settled in (("dead_letters", dead), ("abandoned", waiting)):
                 settled.join(keep, ["connector", "ord"], "left_anti").write.mode("overwrite").parquet(f"{path}/{name}/{here}")
             _last_commits(raw, _commit(kind), _read(spark, f"{path}/positions/{before}")).write.mode("overwrite").parquet(
                 f"{path}/positions/{here}"
             )
         write_lake(committed, f"{path}/events/{here}", mode="overwrite")
-        pending_rows(kind, raw).write.mode("overwrite").parquet(f"{path}/pending/{here}")
+        rows.unpersist()
         raw.unpersist()
 
     return (
@@ -192,11 +196,11 @@ def publish_redo(stream: DataFrame, path: str, checkpoint: str, owner: str, star
         newest = prints.groupBy("connector").agg(F.max("scn").alias("__newest"))
         side_join(prints, F.broadcast(newest), ["connector"], "inner").where(F.col("scn") == F.col("__newest")).select(*FINGERPRINT).write.mode(
             "overwrite").parquet(f"{path}/seen/{here}")
+        parsed.unpersist()
         fresh.unpersist()
         mine.unpersist()
 
     return (
-        parsed.unpersist()
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
