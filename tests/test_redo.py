@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.images import delta
+from tidemark.functions import redo
 from tidemark.functions.redo import obfuscate_sql, parse_delete, parse_insert, parse_update
 from tidemark.operators.oracle import redo_events
 
@@ -113,6 +114,35 @@ def test_random_statements(spark):
         assert found[i]["d"] == {c: v for c, v in new.items() if old[c] is None or old[c] != v}, sql
 
 
+def marked_slowly(sql):
+    """Marks for parentheses nested deeper than three, character by character."""
+    out, depth, i = [], 0, 0
+    while i < len(sql):
+        c = sql[i]
+        end = sql.find(c, i + 1) if c in "'\"" else -1
+        depth += c == "("
+        deep = depth > 3 and c in "()"
+        out.append({"(": redo._OPEN, ")": redo._CLOSE}[c] if deep else sql[i:max(i, end) + 1])
+        depth -= c == ")"
+        i = max(i, end) + 1
+    return "".join(out)
+
+
+def test_only_deep_statements_are_walked(spark):
+    """Four opening parentheses anywhere, in texts too, had the tokens of a statement gone through."""
+    shallow = ["insert into T(A,B) values (TO_DATE('1', 'Y'),'it''s, (b)')", "f(a(b(c)))(d)(e(f(')')))", "x" * 5 + "(a)" * 50000,
+               """"(" = '((((' and b = ")" """, "(((())" + "'", None, ""]
+    rng = random.Random(5)
+    mixed = ["".join(rng.choice(["(", "(", ")", ")", "'", '"', "a", " b\n"]) for _ in range(rng.randint(4, 24))) for _ in range(3000)]
+    cases = shallow + mixed + ["f(" * 4 + "x" + ")" * 4, "f(" * 3 + "'('" + ")" * 3 + "((a))"]
+    sql = F.col("sql")
+    rows = spark.createDataFrame([(s,) for s in cases], "sql STRING").select(
+        "sql", redo._shallow(sql).alias("marked"), redo._may_be_deep(sql).alias("walked")).collect()
+    assert [r["marked"] for r in rows] == [s if s is None else marked_slowly(s) for s in cases]
+    assert not any(r["walked"] for r in rows[:4])
+    assert any(r["marked"] != r["sql"] for r in rows[7:]) and all(r["walked"] for r in rows if r["marked"] != r["sql"])
+
+
 def test_fallback_rows(spark):
     rows = [
         ("c", 1, 1, "junk ' text", "INSERT", "T", "O", None, None), ("c", 2, 2, "junk", "UPDATE", "T", "O", None, "x"),

@@ -65,6 +65,12 @@ _WHOLE_TEXT = rf"^{_TEXT}$"
 _DEPTH = 3
 _OPEN, _CLOSE = "﷐", "﷑"
 _MANY = rf"\((?:[^(]*+\(){{{_DEPTH}}}"
+# Balanced, and nested no deeper than that.
+_FLAT = r"""(?:'[^']*+'|"[^"]*+"|[^'"()]++)"""
+_NESTED = rf"{_FLAT}*+"
+for _ in range(_DEPTH):
+    _NESTED = rf"(?:{_FLAT}|\({_NESTED}\))*+"
+_TAME = rf"^{_NESTED}\z"
 _TOKEN = r"""'[^']*+'|"[^"]*+"|[()]|[^'"()]++|['"]"""
 _OUTSIDE = r"(?=(?:[^']*+'[^']*+')*+[^']*+$)"
 
@@ -97,9 +103,14 @@ def _image(names: Column, values: Column, upper: bool, literal_parity: bool) ->
     )
 
 
+def _may_be_deep(sql: Column) -> Column:
+    return sql.rlike(_MANY) & ~sql.rlike(_TAME)
+
+
 def _shallow(sql: Column) -> Column:
     """The statement with parentheses nested deeper than the patterns follow exchanged for
-    marks, outside of literals. ``clean_value`` takes the marks back."""
+    marks, outside of literals. ``clean_value`` takes the marks back. Going through the tokens
+    is slow, so only statements do that one pattern does not show to be shallow."""
 
     def step(acc: Column, token: Column) -> Column:
         opens, closes = token == "(", token == ")"
@@ -110,7 +121,7 @@ def _shallow(sql: Column) -> Column:
         )
 
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
-    return F.when(sql.rlike(_MANY), F.aggregate(_parts(sql, _TOKEN, 0), start, step)["text"]).otherwise(sql)
+    return F.when(_may_be_deep(sql), F.aggregate(_parts(sql, _TOKEN, 0), start, step)["text"]).otherwise(sql)
 
 
 def _body(sql: Column, pattern: str) -> Column:
